@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slabworks.llm.common import table
+from slabworks.llm.common import arrow_map, table
 
 #: Entries of a memo before it is emptied; memos only save time.
 MEMO = 400_000
@@ -227,7 +227,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                 out.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(out, names=[f.name for f in (*kept, *added)])
 
-    return docs.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, T.StructType([*kept, *added]))
+    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("_text")), run, T.StructType([*kept, *added]))
 
 
 def production() -> tuple[str, str]:

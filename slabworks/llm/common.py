@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slabworks.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_map(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` on workers that may not have this package installed."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_key(text: Column) -> Column:
     """SHA-256 of a text; null stays null."""
     return F.sha2(text.cast("binary"), 256)

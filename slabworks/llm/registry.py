@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slabworks.llm import bpe
+from slabworks.llm import bpe, chat, langid, quality
 
-_MODULES = (bpe,)
+_MODULES = (langid, chat, quality, bpe)
 
 
 def queries() -> dict:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,15 @@ def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once a row.
+
+    A column used inside a lambda is computed anew for each element once the optimizer has merged projections or
+    pushed a filter through them; a lambda's own variable isn't.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def text_key(text: Column) -> Column:
     """SHA-256 of a text; null stays null."""
     return F.sha2(text.cast("binary"), 256)

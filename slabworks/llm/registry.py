@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slabworks.llm import bpe, chat, langid, quality
+from slabworks.llm import bpe, chat, decontam, langid, quality, secrets, sharding, warczip
 
-_MODULES = (langid, chat, quality, bpe)
+_MODULES = (langid, chat, quality, sharding, decontam, secrets, warczip, bpe)
 
 
 def queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slabworks.llm import bpe, chat, decontam, langid, quality, secrets, sharding, warczip
+from slabworks.llm import bpe, chat, decontam, langid, neardup, quality, secrets, sharding, suffixdup, warczip
 
-_MODULES = (langid, chat, quality, sharding, decontam, secrets, warczip, bpe)
+_MODULES = (langid, chat, suffixdup, quality, sharding, decontam, secrets, neardup, warczip, bpe)
 
 
 def queries() -> dict:

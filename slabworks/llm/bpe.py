@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -221,10 +222,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                 hashes.append(hashlib.sha256(digits.encode()).hexdigest())
                 decoded.append(hashlib.sha256(own.decode_digits(digits)).hexdigest())
                 if with_ids:
-                    ids.append(list(map(int, digits.split(","))) if digits else [])
+                    ids.append(np.fromstring(digits, dtype=np.int32, sep=","))
             out = [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             if with_ids:
-                out.append(pa.array(ids, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *counts], dtype=np.int64).astype(np.int32)
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))))
             yield pa.RecordBatch.from_arrays(out, names=[f.name for f in (*kept, *added)])
 
     return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("_text")), run, T.StructType([*kept, *added]))

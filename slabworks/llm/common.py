@@ -36,6 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, **added: Column) -> DataFrame:
+    """Column row, a struct of all columns, and the added ones: no column of the caller's can clash with those."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(name) for name, c in added.items()])
+
+
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow`` on workers that may not have this package installed."""
     ship(df.sparkSession)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slabworks.llm.common import let, table, text_key, written
+from slabworks.llm.common import let, packed, table, text_key, written
 
 WORDS = 5
 #: The least share of an item's shingles, as a whole percentage.
@@ -83,8 +83,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
     """``docs`` without the texts that ``leaks`` names; null texts stay."""
-    names = docs.columns
-    return docs.withColumn("_key", text_key(F.col("text"))).join(leaks.select(F.col("text_key").alias("_key")).distinct(), "_key", "left_anti").select(*names)
+    rows = packed(docs, text_key=text_key(F.col("text")))
+    return rows.join(leaks.select("text_key").distinct(), "text_key", "left_anti").select("row.*")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

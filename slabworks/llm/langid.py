@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slabworks.llm.common import arrow_map, table
+from slabworks.llm.common import arrow_map, packed, table
 from slabworks.llm.textkit import slices
 
 UNDETERMINED = "und"
@@ -29,6 +29,8 @@ BATCH = 512
 #: Labelled documents that training may use at most, and windows from each.
 SAMPLE_ROWS = 4000
 SAMPLE_WINDOWS = 3
+#: Score below which the pipeline rejects a document; an even guess among four languages has 0.25.
+LEAST_SCORE = 0.35
 
 
 @dataclass(frozen=True)
@@ -193,21 +195,29 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tup
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in batches:
-            names, scores = [], []
+            found, scores = [], []
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)
             for lo, hi, data, at in slices(batch.column("_text"), 1 << 19):
                 p = predict_texts(own, data, at) if own else np.zeros((hi - lo, 1))
                 best = p.argmax(axis=1)
                 for i in range(hi - lo):
                     good = bool(letters[lo + i]) and own is not None
-                    names.append(own.languages[best[i]] if good else UNDETERMINED)
+                    found.append(own.languages[best[i]] if good else UNDETERMINED)
                     scores.append(min(1.0, float(p[i, best[i]])) if good else 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("_text"), letters.alias("_letters")), run, schema)
 
 
+def accepted(docs: DataFrame, net: ByteNet | None, least: float = LEAST_SCORE) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined or scored below ``least``; without a network, all stay."""
+    if net is None:
+        return docs
+    rows = identify(packed(docs, text=F.col("text")), net, keep=("row",))
+    return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs)).select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

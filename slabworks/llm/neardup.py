@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slabworks.llm import textkit as K
-from slabworks.llm.common import arrow_map, table, written
+from slabworks.llm.common import arrow_map, packed, table, written
 from slabworks.llm.components import connected_components
 
 #: Values in a sketch, and how many of them a pair at the limit shares at least (see above).
@@ -165,16 +165,8 @@ def exact_prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int) -> DataF
     return small.join(large, "s").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id and kept.
-
-    A document's set is its distinct shingles of ``words`` words (runs without ASCII white space, A-Z in lower
-    case), or its whole sequence as one if it has fewer; two documents are linked if their sets' intersection is at
-    least ``percent`` hundredths of their union.  component_id is the smallest doc_id that links lead to; kept is
-    true for that document.  A null text or one without words has an empty set and is linked with nothing.  A null
-    doc_id takes part but is never the smallest; alone it has a null component_id and is kept.  Repeated rows are in
-    one component and, if they are the smallest, all kept.  Other columns are not looked at.
-    """
+def nodes_named(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(sid, doc_id, look, n, comp, component_id) of each row: its node, component and the component's smallest doc_id."""
     docs = docs.select("doc_id", "text")
     rows = written(sketches(docs, words), "near-rows")
     reps = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("look", "doc_id")).alias("rep"))
@@ -213,14 +205,40 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     roots = roots.join(second.select(F.col("node").alias("comp"), F.col("label").alias("label2")), "comp", "left").select("sid", "first_id", F.coalesce("label2", "comp").alias("comp"))
     roots = written(roots, "near-roots")
     least = roots.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = roots.join(least, "comp").select("sid", "component_id")
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(named, "sid", "left")
+    named = roots.join(least, "comp").select("sid", "comp", "component_id")
+    return rows.select("doc_id", "look", "n", "sid").join(named, "sid", "left")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id and kept.
+
+    A document's set is its distinct shingles of ``words`` words (runs without ASCII white space, A-Z in lower
+    case), or its whole sequence as one if it has fewer; two documents are linked if their sets' intersection is at
+    least ``percent`` hundredths of their union.  component_id is the smallest doc_id that links lead to; kept is
+    true for that document.  A null text or one without words has an empty set and is linked with nothing.  A null
+    doc_id takes part but is never the smallest; alone it has a null component_id and is kept.  Repeated rows are in
+    one component and, if they are the smallest, all kept.  Other columns are not looked at.
+    """
+    out = nodes_named(docs, words, percent)
     found = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", found.alias("component_id"), F.coalesce(F.col("doc_id") == found, found.isNull()).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), F.coalesce(F.col("doc_id") == found, found.isNull()).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest doc_id, then text hash; nulls come last.
+
+    Rows without words are linked with nothing and all stay, null texts included.
+    """
+    nodes = nodes_named(docs, words, percent).where("sid is not null")
+    best = nodes.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "look")).alias("best"))
+    stay = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.look").alias("best_look"))
+    rows = packed(docs, own=F.xxhash64("text"), id=F.col("doc_id"), worded=F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    kept = rows.where("worded").join(stay, (F.col("own") == F.col("best_look")) & F.col("id").eqNullSafe(F.col("best_id")), "left_semi")
+    return kept.dropDuplicates(["own", "id"]).select("row.*").unionByName(rows.where("not worded").select("row.*"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
 OP8_SQL = """

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slabworks.llm.common import table, text_key, written
+from slabworks.llm.common import packed, table, text_key, written
 
 # Fixed patterns.  Both cases are spelled out: engines differ in what a case-insensitive match folds.
 ASSIGN = (
@@ -106,20 +106,21 @@ def spans_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every live span of their texts replaced by a mark; n_chars follows, all else stays."""
-    live = found.select("row_key", F.filter("found", lambda s: s.live).alias("_live")).where(F.size("_live") > 0).groupBy("row_key").agg(F.min("_live").alias("_live"))
+    live = found.select("row_key", F.filter("found", lambda s: s.live).alias("live")).where(F.size("live") > 0).groupBy("row_key").agg(F.min("live").alias("live"))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.when(s.start >= acc.at, F.concat(F.substring(F.col("text"), acc.at + 1, s.start - acc.at), F.lit(mark))).otherwise(F.lit(""))
         return F.struct(F.greatest(acc.at, s.end).alias("at"), F.concat(acc.out, gap).alias("out"))
 
-    clean = F.aggregate("_live", zero, step, lambda acc: F.concat(acc.out, F.substring(F.col("text"), acc.at + 1, F.length("text"))))
-    names = docs.columns
-    both = docs.withColumn("row_key", row_key(F.col("doc_id"), F.col("text"))).join(live, "row_key", "left")
-    both = both.withColumn("text", F.when(F.col("_live").isNotNull(), clean).otherwise(F.col("text")))
-    if "n_chars" in names:
-        both = both.withColumn("n_chars", F.when(F.col("_live").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return both.select(*names)
+    clean = F.aggregate("live", zero, step, lambda acc: F.concat(acc.out, F.substring(F.col("text"), acc.at + 1, F.length("text"))))
+    rows = packed(docs, text=F.col("text"), row_key=row_key(F.col("doc_id"), F.col("text"))).join(live, "row_key", "left")
+    rows = rows.withColumn("text", F.when(F.col("live").isNotNull(), clean).otherwise(F.col("text")))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(F.col("live").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,9 +41,10 @@ def key(r):
 
 
 def check(spark, rows, **kw):
+    kw = {"words": 4} | kw
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, sid string")
     got = [tuple(r) for r in neardup.near_duplicates(df, **kw).collect()]
-    assert sorted(got, key=key) == sorted(brute(rows, kw.get("words", 4)), key=key)
+    assert sorted(got, key=key) == sorted(brute(rows, kw["words"]), key=key)
 
 
 def edited(rng, base, rate):
@@ -71,6 +72,16 @@ def test_odd_rows(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_five_words_and_one_row_of_each_group(spark):
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(5, text), (5, text), (None, text), (3, text + " end"), (None, "alone in the world today"), (None, "alone in the world today"), (9, None), (9, None), (10, ""), (2, "alone but with an id")]
+    check(spark, rows, words=5)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, comp string, _id int")
+    got = sorted((str(r.doc_id), str(r.text)[:5]) for r in neardup.without_near_duplicates(df).collect())
+    assert got == [("10", ""), ("2", "alone"), ("3", "a b c"), ("9", "None"), ("9", "None"), ("None", "alone")]
+    assert neardup.without_near_duplicates(df).columns == df.columns
+
+
 def test_sql_agrees(spark):
     assert compare(neardup.op8_near_duplicates(spark, SF), neardup.OP8_SQL, SF) == 200
 

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from slabworks.functions.columns import MAD_SCALE, hash_rank, lit, natural_key, over, slice_number
 from slabworks.operators import geometry as G
 from slabworks.operators import relational as R
+from slabworks.operators import review as V
 from slabworks.operators import windows as W
 from slabworks.plans import quality
+from slabworks.sources import files as S
 from slabworks.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -621,6 +623,57 @@ def display_depth(spark, sf_dir):
     return c.join(F.broadcast(z), "slice_index").select("cell_id", "z_display")
 
 
+# ------------------------------------------------------------------ review
+
+
+def _ranked_components(p: DataFrame) -> DataFrame:
+    c = p.groupBy("dataset_id", "slice_index", "celltype").agg(F.count("*").alias("points"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), (F.max("x") - F.min("x")).alias("width"), (F.max("y") - F.min("y")).alias("height"))
+    return c.withColumn("rank", F.row_number().over(Window.partitionBy("dataset_id", "slice_index").orderBy(F.desc("points"), "celltype")))
+
+
+@query(
+    "triad_scan",
+    """WITH k AS (SELECT slice_index, celltype, count(*)::DOUBLE AS n, avg(x) AS cx, avg(y) AS cy, max(x) - min(x) AS w, max(y) - min(y) AS h FROM points GROUP BY ALL),
+    c AS (SELECT *, row_number() OVER (PARTITION BY slice_index ORDER BY n DESC, celltype) AS rank, dense_rank() OVER (ORDER BY slice_index) AS p, sqrt(w * w + h * h) AS diag, w * h AS area, w / greatest(h, 1e-6) AS aspect FROM k),
+    t AS (SELECT a.slice_index AS sa, m.slice_index AS sm, b.slice_index AS sb, m.rank, m.n, greatest(a.diag, m.diag, b.diag, 100) AS scale,
+        sqrt((a.cx - m.cx) ** 2 + (a.cy - m.cy) ** 2) AS am, sqrt((m.cx - b.cx) ** 2 + (m.cy - b.cy) ** 2) AS mb, sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2) AS ab,
+        sqrt((m.cx - (a.cx + b.cx) / 2) ** 2 + (m.cy - (a.cy + b.cy) / 2) ** 2) AS off, (m.cx - a.cx) * (b.cx - m.cx) + (m.cy - a.cy) * (b.cy - m.cy) AS dot,
+        least(0.65 * least(a.n, b.n) / greatest(a.n, b.n, 1) + 0.35 * least(a.area, b.area) / greatest(a.area, b.area, 1), 0.65 * least(a.n, m.n) / greatest(a.n, m.n, 1) + 0.35 * least(a.area, m.area) / greatest(a.area, m.area, 1), 0.65 * least(b.n, m.n) / greatest(b.n, m.n, 1) + 0.35 * least(b.area, m.area) / greatest(b.area, m.area, 1)) AS stable,
+        greatest(abs(ln(greatest(a.aspect, 1e-6) / greatest(m.aspect, 1e-6))) + abs(ln(greatest(a.diag, 1e-6) / greatest(m.diag, 1e-6))), abs(ln(greatest(m.aspect, 1e-6) / greatest(b.aspect, 1e-6))) + abs(ln(greatest(m.diag, 1e-6) / greatest(b.diag, 1e-6)))) AS shape
+        FROM c m JOIN c a ON a.p = m.p - 1 AND a.rank = m.rank JOIN c b ON b.p = m.p + 1 AND b.rank = m.rank),
+    u AS (SELECT *, off / scale AS o, greatest(0, am + mb - greatest(ab, 1)) / scale AS gap, CASE WHEN am > 1e-6 AND mb > 1e-6 THEN greatest(0, -dot / (am * mb)) ELSE 0 END AS back FROM t),
+    v AS (SELECT *, (70 * o + 20 * gap + 16 * back + 8 * greatest(0, 1 - stable) + 4 * least(shape, 2.5)) * (0.45 + 0.55 * least(1, log10(greatest(n, 10)) / 4)) AS score,
+        CASE WHEN o >= 0.18 AND ab / scale <= 0.35 THEN 'mid_outlier' WHEN greatest(am, mb) / scale >= 0.35 AND abs(am - mb) / scale >= 0.2 THEN 'edge_issue' ELSE 'normal' END AS issue FROM u)
+    SELECT CAST(sa AS INTEGER) AS slice_a, CAST(sm AS INTEGER) AS slice_m, CAST(sb AS INTEGER) AS slice_b, CAST(rank AS INTEGER) AS rank, round(score, 5) AS score, issue,
+        CASE WHEN issue = 'mid_outlier' AND score >= 22 AND n >= 200 THEN 'flagged' WHEN issue <> 'normal' AND score >= 12 THEN 'watch' ELSE 'normal' END AS status FROM v""",
+    "points",
+)
+def triad_scan(spark, sf_dir):
+    return V.triad_scan(_ranked_components(X.points(spark, sf_dir))).select("slice_a", "slice_m", "slice_b", "rank", F.round("score", 5).alias("score"), "issue", "status")
+
+
+@query(
+    "edge_review",
+    """WITH c AS (SELECT slice_index, celltype, count(*) AS n, avg(x) AS cx, avg(y) AS cy, stddev_pop(x) AS r FROM points GROUP BY ALL),
+    e AS (SELECT a.slice_index AS fixed, a.celltype, a.n AS n_fixed, b.n AS n_moving, sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2) / 20 AS jump, b.r / nullif(a.r, 0) AS ratio FROM c a JOIN c b ON b.slice_index = a.slice_index + 1 AND a.celltype = b.celltype)
+    SELECT CAST(fixed AS INTEGER) AS fixed, celltype, CASE WHEN least(n_fixed, n_moving) < 5 THEN 'low_cell_count' ELSE concat_ws(',', CASE WHEN jump >= 1 THEN 'centroid_jump' END, CASE WHEN ratio <= 0.5 OR ratio >= 2 THEN 'radius_ratio_shift' END) END AS flags,
+        round((least(jump, 10) * 2 + coalesce(CASE WHEN ratio > 0 THEN abs(log2(ratio)) END, 0) + least(log10(greatest(least(n_fixed, n_moving)::DOUBLE, 1)), 4) * 0.2) * CASE WHEN least(n_fixed, n_moving) < 5 THEN 0.1 ELSE 1 END, 5) AS priority FROM e""",
+    "points",
+)
+def edge_review(spark, sf_dir):
+    c = X.points(spark, sf_dir).groupBy("slice_index", "celltype").agg(F.count("*").alias("n"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.stddev_pop("x").alias("r"))
+    b = c.select((F.col("slice_index") - 1).alias("slice_index"), "celltype", F.col("n").alias("n_moving"), F.col("cx").alias("bx"), F.col("cy").alias("b_y"), F.col("r").alias("br"))
+    e = c.withColumnRenamed("n", "n_fixed").join(b, ["slice_index", "celltype"])
+    e = e.select(F.col("slice_index").alias("fixed"), "celltype", "n_fixed", "n_moving", (F.hypot(F.col("cx") - F.col("bx"), F.col("cy") - F.col("b_y")) / 20).alias("jump"), F.try_divide("br", "r").alias("ratio"), F.lit(None).cast("double").alias("angle"), F.lit(None).cast("double").alias("sigma2"))
+    return V.edge_flags(e, least_cells=5).select("fixed", "celltype", F.array_join("flags", ",").alias("flags"), F.round("priority", 5).alias("priority"))
+
+
+@query("result_status", "SELECT o_custkey AS result, CASE WHEN bad = n THEN 'failed' WHEN bad > 0 THEN 'partial' WHEN ready = n THEN 'ok' ELSE 'pending' END AS status, ready, bad, n AS entries FROM (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS ready, count(*) FILTER (o_orderstatus = 'P') AS bad FROM orders GROUP BY ALL)")
+def result_status(spark, sf_dir):
+    kind = F.when(F.col("o_orderstatus") == "F", "ready").when(F.col("o_orderstatus") == "P", "failed").otherwise("deferred")
+    return S.entry_status(X.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("result"), kind.alias("status")))
+
+
 # ------------------------------------------------------------------ composites without an SQL form
 
 
@@ -649,3 +702,22 @@ def expression_pca(spark, sf_dir):
     n = e.select("cell_id").distinct().count()
     scores, _ = expression_components(normalized_expression(e), n, 3)
     return scores
+
+
+@query("quality_window_evidence")
+def quality_window_evidence(spark, sf_dir):
+    return V.tier_verdict(quality.evidence(quality.series_metrics(spark, sf_dir)), 0.129, 2, 0.65)
+
+
+@query("series_registration")
+def series_registration(spark, sf_dir):
+    from slabworks.operators.registration import register_series
+
+    return register_series(X.cells(spark, sf_dir))
+
+
+@query("tissue_components")
+def tissue_components(spark, sf_dir):
+    from slabworks.operators.registration import slice_components
+
+    return slice_components(X.cells(spark, sf_dir), 0.05)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slabworks.functions.columns import clip, lit, over
 from slabworks.operators import windows as W
 from slabworks.operators.morphology import slice_geometry
+from slabworks.operators.review import window_evidence
 from slabworks.sources import fixtures as X
 
 # Fixed values of the scoring rules: weights of each domain's metrics, and of the domains in the score.
@@ -124,6 +125,15 @@ def score_series(slices: DataFrame, window: int = 5) -> DataFrame:
     return out.withColumn("recommendation", F.when(F.coalesce(exclude, F.lit(False)), "exclude").when(review, "review").otherwise("keep"))
 
 
+def evidence(slices: DataFrame, windows: tuple[int, ...] = (3, 5, 7)) -> DataFrame:
+    """Scores under each window, gathered to one row a slice."""
+    scored = []
+    for w in windows:
+        frame = score_series(slices, w)
+        scored.append((w, frame.withColumn("severity", F.greatest("density", "expression", "damage", "continuity"))))
+    return window_evidence(scored)
+
+
 def two_stage_policy(scored: DataFrame) -> DataFrame:
     """dataset_id, slice_index, score, band and call: bands of the score, then the tier of an uncertain one.
 

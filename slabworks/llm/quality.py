@@ -134,9 +134,9 @@ class Ratio:
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents labelled as good and not as toxic."""
+    """Documents labelled as good and not as toxic, by a join that shuffles at every size (labels grow with the corpus)."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
-    return docs.join(good, "doc_id", "left_semi")
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Ratio:

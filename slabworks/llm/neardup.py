@@ -9,7 +9,7 @@ What keeps hot lists linear:
 * A linked pair shares at least LEAST_SHARED of K retained values, so each node looks only at its rarest
   K - LEAST_SHARED + 1 values (the prefix of the list of values by corpus frequency); values of a very common line
   or passage are seldom among them.
-* Each list proposes its members to one hub, the member with the fewest values of its own.  Verified links are
+* Each list proposes its members to one hub, the member whose retained values are the most common in the corpus.  Verified links are
   contracted to components, and only lists that still hold several components go on.
 * Of those, short lists propose all pairs between components.  Members of long ones go through an exact prefix
   filter on their full sets, rarest shingles first, again between components only.
@@ -37,6 +37,8 @@ SKETCH = 48
 LEAST_SHARED = 16
 #: Members up to which a list proposes all pairs between its components.
 SHORT_LIST = 24
+#: Bits of a full set's parity signature.
+BITS = 1024
 
 
 def shingle_sets(col: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -81,23 +83,32 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(sid, shingles) of the nodes whose representative rows (look, doc_id) are wanted, written once."""
+    """(sid, shingles, bits) of the nodes whose representative rows (look, doc_id) are wanted, written once.
+
+    bits has for each of BITS classes of hashes whether the set has an odd number of them: two sets differ in at
+    least as many shingles as their bits differ in places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, sets = [], []
+            sids, sets, bits = [], [], []
             for _, s in shingle_sets(batch.column("text"), words):
                 sids.append(set_id(s))
                 sets.append(s.astype(np.int64))
+                odd = np.bincount((s % K.U64(BITS)).astype(np.int64), minlength=BITS) & 1
+                bits.append(np.packbits(odd.astype(bool)).view(np.int64))
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "shingles"])
+            words64 = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+            at = np.arange(len(sids) + 1, dtype=np.int32) * (BITS // 64)
+            columns = [pa.array(sids, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(pa.array(at), pa.array(words64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["sid", "shingles", "bits"])
 
     texts = docs.select(F.col("doc_id"), F.xxhash64("text").alias("look"), F.col("text").cast("string").alias("text"))
     keys = wanted.select(F.col("look").alias("_look"), F.col("rep_id").alias("_rep"))
     one = texts.join(keys, (F.col("look") == F.col("_look")) & F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
     one = one.dropDuplicates(["look", "doc_id"])  # repeated rows
-    return written(arrow_map(one.select("text"), run, "sid binary, shingles array<long>"), "near-sets")
+    return written(arrow_map(one.select("text"), run, "sid binary, shingles array<long>, bits array<long>"), "near-sets")
 
 
 def _least_size(n: Column, percent: int) -> Column:
@@ -110,7 +121,10 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def prefix_keys(reps: DataFrame, percent: int) -> DataFrame:
-    """(v, sid, n, own): the rarest retained values by which each node is looked up; own: values nobody else has."""
+    """(v, sid, n, weight): the rarest retained values by which each node is looked up.
+
+    weight sums how often all its retained values occur: it is greatest at the centre of a group of near copies.
+    """
     values = reps.select("sid", "n", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
     rows = values.join(shared, "v").groupBy("sid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "v"))).alias("vs"))
@@ -118,7 +132,8 @@ def prefix_keys(reps: DataFrame, percent: int) -> DataFrame:
     own = size - F.size("vs")
     least = F.least(F.lit(LEAST_SHARED), _least_size(F.col("n"), percent))
     keep = F.greatest(size - least + 1 - own, F.lit(0))
-    return rows.select("sid", "n", own.alias("own"), F.explode(F.slice("vs", F.lit(1), keep)).alias("x")).select("x.v", "sid", "n", "own")
+    weight = F.aggregate("vs", F.lit(0).cast("long"), lambda acc, x: acc + x.c)
+    return rows.select("sid", "n", weight.alias("weight"), F.explode(F.slice("vs", F.lit(1), keep)).alias("x")).select("x.v", "sid", "n", "weight")
 
 
 def estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -156,13 +171,20 @@ def exact_prefix_pairs(sets: DataFrame, comps: DataFrame, percent: int) -> DataF
     ranked = rows.join(shared, "s").groupBy("sid").agg(F.first("comp").alias("comp"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "s", (F.col("c0") != F.col("c1")).alias("open")))).alias("ss"))
     own = F.col("n") - F.size("ss")
     probe = F.greatest(F.col("n") - _least_size(F.col("n"), percent) + 1 - own, F.lit(0))
-    index = F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent)).cast("int") + 1 - own
-    keys = ranked.select("sid", "comp", "n", index.alias("index"), F.posexplode(F.slice("ss", F.lit(1), probe)).alias("pos", "x")).where("x.open")
-    keys = written(keys.select("sid", "comp", "n", (F.col("pos") < F.col("index")).alias("early"), "x.s"), "near-prefix")
-    small = keys.where("early").select(F.col("sid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), "s")
-    large = keys.select(F.col("sid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), "s")
-    fits = (F.col("ca") != F.col("cb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") != F.col("b")))) & _similar_sizes(F.col("na"), F.col("nb"), percent)
-    return small.join(large, "s").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    index = F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent)).cast("int") + 1
+    keys = ranked.select("sid", "comp", "n", own.alias("own"), index.alias("index"), F.posexplode(F.slice("ss", F.lit(1), probe)).alias("pos", "x")).where("x.open")
+    keys = keys.join(sets.select("sid", "bits"), "sid")
+    keys = written(keys.select("sid", "comp", "n", "bits", (F.col("own") + F.col("pos")).alias("place"), "index", "x.s"), "near-prefix")
+    name = lambda tag: [F.col(c).alias(f"{c}_{tag}") for c in ("sid", "comp", "n", "bits", "place")]
+    small, large = keys.where("place < index").select(*name("a"), "s"), keys.select(*name("b"), "s")
+    na, nb = F.col("n_a"), F.col("n_b")
+    fits = (F.col("comp_a") != F.col("comp_b")) & ((na < nb) | ((na == nb) & (F.col("sid_a") != F.col("sid_b")))) & _similar_sizes(na, nb, percent)
+    # from the first shared shingle on, no more can be shared than either has left
+    left = F.least(na - F.col("place_a"), nb - F.col("place_b"))
+    fits = fits & (left * (100 + percent) >= (na + nb) * percent)
+    differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    fits = fits & (differ * (100 + percent) <= (na + nb) * (100 - percent))
+    return small.join(large, "s").where(fits).select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")).distinct()
 
 
 def nodes_named(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -172,7 +194,7 @@ def nodes_named(docs: DataFrame, words: int, percent: int) -> DataFrame:
     reps = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("look", "doc_id")).alias("rep"))
     reps = written(reps.select("sid", "first_id", "n", "sketch", "rep.look", F.col("rep.doc_id").alias("rep_id")), "near-nodes")
     keys = written(prefix_keys(reps, percent), "near-keys")
-    lists = keys.groupBy("v").agg(F.count("*").alias("m"), F.min(F.struct("own", "n", "sid")).alias("hub")).where("m > 1")
+    lists = keys.groupBy("v").agg(F.count("*").alias("m"), F.max(F.struct("weight", "sid", "n")).alias("hub")).where("m > 1")
     lists = written(lists.select("v", "m", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n")), "near-lists")
 
     members = keys.join(lists, "v")

@@ -32,14 +32,33 @@ def _symbols(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return sym, np.repeat(ends, sizes) - np.arange(len(sym))
 
 
-def _packed(sym: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """The first seven symbols of each suffix in one number; zeros after the end mark."""
+def _packed(sym: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray, int, int]:
+    """The first symbols of each suffix in one number (zeros after the end mark), how many, and its bits."""
+    used = np.zeros(257, dtype=bool)
+    used[sym] = True
+    used[0] = True
+    small = np.cumsum(used) - 1  # keeps order
+    sym = small[sym]
+    each = max(1, int(small[-1]).bit_length())
+    k = min(depth, max(1, (63 - len(sym).bit_length()) // each))
     key = np.zeros(len(sym), dtype=np.int64)
-    for j in range(7):
-        key <<= 9
+    for j in range(k):
+        key <<= each
         n = max(0, len(sym) - j)
         key[:n] |= np.where(left[:n] > j, sym[j:], 0)
-    return key
+    return key, k, k * each
+
+
+def _order(key: np.ndarray, bits: int) -> np.ndarray:
+    """Stable order of non-negative keys of so many bits; places ride in the low bits where they fit, which sorts fastest."""
+    low = len(key).bit_length()
+    if bits + low > 63:
+        return np.argsort(key, kind="stable")
+    packed = key << low
+    packed |= np.arange(len(key))
+    packed.sort()
+    packed &= (1 << low) - 1
+    return packed
 
 
 def _ranks(sorted_keys: np.ndarray) -> np.ndarray:
@@ -54,23 +73,22 @@ def build(strings: list[bytes], depth: int, first: int = 0) -> Shard:
     """The shard of some strings; ``first`` is where they begin in the caller's text."""
     sym, left = _symbols(strings)
     n = len(sym)
-    key = _packed(sym, left)
-    sa = np.argsort(key, kind="stable")
+    key, k, bits = _packed(sym, left, depth)
+    sa = _order(key, bits)
     head = _ranks(key[sa])
     rank = np.empty(n + 1, dtype=np.int64)
     rank[sa] = head
     rank[n] = -1
-    k = 7
     while k < depth:
         step = min(k, depth - k)
         same = np.flatnonzero((np.diff(head, append=n) == 0) | (np.diff(head, prepend=-1) == 0))
-        rows = same[left[sa[same]] > step]  # a suffix that has ended by now stays with its equals
-        short = same[left[sa[same]] <= step]
-        if not len(rows):
+        at = sa[same]
+        more = left[at] > step  # a suffix that has ended by now stays with its equals
+        if not more.any():
             break
-        key = head[same] * (n + 1) + np.where(left[sa[same]] > step, rank[np.minimum(sa[same] + step, n)] + 1, 0)
-        order = np.lexsort((sa[same], key)) if len(short) else np.argsort(key, kind="stable")
-        sa[same] = sa[same][order]
+        key = head[same] * (n + 1) + np.where(more, rank[np.minimum(at + step, n)] + 1, 0)
+        order = _order(key, 2 * (n + 1).bit_length())
+        sa[same] = at[order]
         key = key[order]
         new = np.empty(len(same), dtype=bool)
         new[0] = True

@@ -3,16 +3,18 @@
 Every string of LENGTH bytes has an anchor: the least hash of its ANCHOR-byte substrings.  Strings in a row with one
 anchor are a segment.  Equal strings have equal anchors, so an anchor that one segment has alone (and once) can't
 repeat, and segments of different anchors needn't meet: a segment is the unit that is sent, an anchor the key it is
-sent by, and no string is lost.  Segments that are left are collapsed where equal; those of one anchor become rows of
-one transform: shards are built from a bounded number of bytes and merged by refining their interleave, and blocks of
-suffixes with a common prefix of LENGTH are the repeated strings.  Anchors with more than HOT different segments are
-not held by one task: their strings are counted by a 128-bit hash instead, all of them.
+sent by, and no string is lost.  Segments that are left are collapsed where equal; those of one anchor are cut to
+what they can have in common and become rows of one transform: shards are built from a bounded number of bytes and
+merged by refining their interleave, and blocks of suffixes with a common prefix of LENGTH are the repeated strings.
+Anchors with more than HOT different segments are not held by one task: their strings are compared by 128-bit hashes
+of pieces and strings instead, all of them.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +23,21 @@ from pyspark.sql import functions as F
 
 from slabworks.llm import textkit as K
 from slabworks.llm.bwt import repeated_starts
-from slabworks.llm.common import arrow_map, table, text_key, written
+from slabworks.llm.common import arrow_map, bucketed, table, text_key, written
+from slabworks.session import ship
 
 LENGTH = 400
 ANCHOR = 128
 #: Strings in a segment at most: longer runs of one anchor are cut.
-LONGEST = 1024
+LONGEST = 256
 #: Different segments of an anchor beyond which its strings are counted by hash.
 HOT = 200
-#: Bytes in a shard, and bytes of segments that are merged at once (whole anchors, so it can be exceeded by HOT segments).
-SHARD, BLOCK = 1 << 18, 1 << 20
+#: Bytes in a shard, and bytes of segments that are merged at once, about.
+SHARD, BLOCK = 1 << 19, 1 << 20
+#: Distances from the anchor whose strings are told apart before segments are compared.
+COARSE = 68
+#: Strings in a piece of a hot anchor's segment.
+PIECE = 8
 
 
 def _sliding_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -44,14 +51,13 @@ def _sliding_min(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """doc, start, strings, anchor and twice (the anchor stands at several places hereabouts) of the segments of texts."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, bool))
+    """doc, start, strings, anchor and where the anchor stands from start (-1 if at several places) of texts' segments."""
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
     if len(data) < LENGTH:
         return none
-    prefix = K.prefix_hash(data)
-    n = len(data) - ANCHOR + 1
-    h = K.mix((prefix[ANCHOR:] - prefix[:n]) * K.powers(len(data))[1][:n])
-    least = _sliding_min(h, LENGTH - ANCHOR + 1)  # of the string that begins at each place
+    h = anchor_hashes(data)
+    w = LENGTH - ANCHOR + 1
+    least = _sliding_min(h, w)  # of the string that begins at each place
     inside = np.zeros(len(least), dtype=bool)
     for a, b in zip(at[:-1], at[1:]):
         if b - a >= LENGTH:
@@ -71,58 +77,96 @@ def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, count = np.repeat(first, parts) + nth * LONGEST, np.repeat(count, parts) - nth * LONGEST
         count = np.minimum(count, LONGEST)
-    anchor = values[first]
-    low = np.sort(h[h <= anchor.max()])
-    double = low[1:][low[1:] == low[:-1]]
-    twice = np.zeros(len(anchor), bool)
-    if len(double):
-        twice = double[np.minimum(np.searchsorted(double, anchor), len(double) - 1)] == anchor
-    return doc[first], places[first] - at[doc[first]], count, anchor, twice
+    anchor, start = values[first], places[first]
+    # the first and second place of each segment's anchor, among the few places with hashes that low
+    low = np.flatnonzero(h <= anchor.max())
+    order = np.argsort(h[low], kind="stable")
+    low = low[order]
+    kinds = h[low]
+    rank = np.cumsum(np.diff(kinds, prepend=kinds[:1]) != 0)
+    keys = rank * (len(h) + 1) + low
+    own = rank[np.searchsorted(kinds, anchor)]
+    i = np.searchsorted(keys, own * (len(h) + 1) + start)
+    again = np.minimum(i + 1, len(keys) - 1)
+    several = (again > i) & (rank[again] == own) & (low[again] < start + count - 1 + w)
+    return doc[first], start - at[doc[first]], count, anchor, np.where(several, -1, low[i] - start)
+
+
+def anchor_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ANCHOR bytes from each place."""
+    prefix = K.prefix_hash(data)
+    n = len(data) - ANCHOR + 1
+    return K.mix((prefix[ANCHOR:] - prefix[:n]) * K.powers(len(data))[1][:n])
 
 
 def find_segments(docs: DataFrame) -> DataFrame:
-    """(key, start, n, anchor, twice) of all texts of docs(key, text)."""
+    """(key, anchor, place) of all texts of docs(key, text); place packs start, strings and the anchor's place + 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, at in K.slices(batch.column("text"), 1 << 20):
-                doc, start, n, anchor, twice = segments(data, at)
-                yield pa.RecordBatch.from_arrays([batch.column("key").slice(lo, hi - lo).take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(twice)], names=["key", "start", "n", "anchor", "twice"])
+                doc, start, n, anchor, where = segments(data, at)
+                place = start << 20 | n << 10 | where + 1
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(lo, hi - lo).take(pa.array(doc)), pa.array(anchor.view(np.int64)), pa.array(place)], names=["key", "anchor", "place"])
 
-    return arrow_map(docs.select("key", "text"), run, "key binary, start int, n int, anchor long, twice boolean")
+    return arrow_map(docs.select("key", "text"), run, "key binary, anchor long, place long")
 
 
-def cut_segments(texts: DataFrame) -> DataFrame:
-    """(key, start, n, anchor, copies, name, content) from texts(key, text, copies, segs)."""
+def _placed(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, pa.Array, pa.StructArray, np.ndarray, np.ndarray]:
+    """Bytes of a batch's texts, and for the segments in a list column: their rows, fields, first bytes and sizes."""
+    raw, at = K.utf8(batch.column("text"))
+    segs = batch.column(column)
+    of = np.repeat(np.arange(len(batch)), segs.value_lengths().to_numpy(zero_copy_only=False))
+    fields = segs.flatten()
+    place = fields.field("place").to_numpy()
+    return raw, pa.array(of), fields, at[of] + (place >> 20), (place >> 10 & 1023) + LENGTH - 1
+
+
+def name_segments(texts: DataFrame) -> DataFrame:
+    """(key, anchor, place, copies, name, cores) from texts(key, text, copies, segs).
+
+    name is a 128-bit hash of the segment.  A string begins up to LENGTH - ANCHOR bytes before its anchor; those that
+    begin within one COARSE distances share a core, and cores has the hash of each core that the segment holds, with
+    its distance: equal strings of different segments have a core in common.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, at = K.utf8(batch.column("text"))
-            keys, copies = batch.column("key"), batch.column("copies").to_pylist()
-            segs = batch.column("segs")
-            rows = segs.flatten()
-            of = np.repeat(np.arange(len(batch)), segs.value_lengths().to_numpy(zero_copy_only=False))
-            start, n = rows.field("start").to_numpy(), rows.field("n").to_numpy()
-            names, contents = [], []
-            for i, a, k in zip(of.tolist(), (at[of] + start).tolist(), n.tolist()):
-                content = raw[a : a + k + LENGTH - 1].tobytes()
-                contents.append(content)
+            raw, of, fields, first, size = _placed(batch, "segs")
+            where = (fields.field("place").to_numpy() & 1023) - 1
+            step = np.arange((LENGTH - ANCHOR) // COARSE + 1)
+            begin = where[:, None] - COARSE * step  # of the core, from the segment's first byte
+            # the strings of a distance are there if some begin within the segment
+            some = (begin > -COARSE) & (begin - COARSE + 1 <= (size - LENGTH)[:, None]) & (where[:, None] >= 0)
+            some &= (begin >= 0) & (begin + LENGTH - COARSE + 1 <= size[:, None])
+            names, cores = [], []
+            for a, k, own, keep in zip(first.tolist(), size.tolist(), begin, some):
+                content = raw[a : a + k].tobytes()
                 names.append(hashlib.blake2b(content, digest_size=16).digest())
-                if len(contents) >= 4000:
-                    yield _cut(keys, copies, rows, of, len(contents), names, contents)
-                    rows, of = rows.slice(len(contents)), of[len(contents) :]
-                    names, contents = [], []
-            if contents:
-                yield _cut(keys, copies, rows, of, len(contents), names, contents)
+                cores.append([hash_core(content[c : c + LENGTH - COARSE + 1], j) for j, c in enumerate(own.tolist()) if keep[j]])
+            columns = [batch.column("key").take(of), fields.field("anchor"), fields.field("place"), batch.column("copies").take(of), pa.array(names, pa.binary()), pa.array(cores, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "anchor", "place", "copies", "name", "cores"])
+
+    return arrow_map(texts.select("key", "text", "copies", "segs"), run, "key binary, anchor long, place long, copies long, name binary, cores array<long>")
+
 
-    return arrow_map(texts.select("key", "text", "copies", "segs"), run, "key binary, start int, n int, anchor long, copies long, name binary, content binary")
+def hash_core(core: bytes, step: int) -> int:
+    return int.from_bytes(hashlib.blake2b(core, digest_size=8, salt=bytes([step])).digest(), "little", signed=True)
+
+
+def cut_segments(texts: DataFrame) -> DataFrame:
+    """(key, anchor, place, total, m, content) from texts(key, text, chosen)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, of, fields, first, size = _placed(batch, "chosen")
+            for lo in range(0, len(of), 4000):
+                contents = [raw[a : a + k].tobytes() for a, k in zip(first[lo : lo + 4000].tolist(), size[lo : lo + 4000].tolist())]
+                part = fields.slice(lo, 4000)
+                columns = [batch.column("key").take(of[lo : lo + 4000]), *[part.field(c) for c in ("anchor", "place", "total", "m")], pa.array(contents, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "anchor", "place", "total", "m", "content"])
 
-def _cut(keys, copies, rows, of, k, names, contents) -> pa.RecordBatch:
-    own = of[:k]
-    part = rows.slice(0, k)
-    columns = [keys.take(pa.array(own)), part.field("start"), part.field("n"), part.field("anchor"), pa.array([copies[i] for i in own.tolist()], pa.int64()), pa.array(names, pa.binary()), pa.array(contents, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["key", "start", "n", "anchor", "copies", "name", "content"])
+    return arrow_map(texts.select("key", "text", "chosen"), run, "key binary, anchor long, place long, total long, m long, content binary")
 
 
 def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -131,47 +175,127 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1 + LENGTH) for a, b in zip(edges[::2], edges[1::2])]
 
 
+def _common(x: bytes, y: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(x), len(y))
+    if x[:n] == y[:n]:
+        return n
+    lo, hi = 0, n - 1  # x[:lo] are equal, x[:hi + 1] aren't
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if x[lo:mid] == y[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _reach(sides: list[bytes]) -> list[int]:
+    """The longest prefix that each string shares with another."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [0] * len(sides)
+    for i, j in zip(order, order[1:]):
+        n = _common(sides[i], sides[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def trimmed(contents: list[bytes], where: list[int]) -> list[tuple[int, bytes]]:
+    """(offset, rest) of the segments of one anchor: what can't be part of a string that another of them has is cut off.
+
+    A common string has the anchor at the same place, so it reaches from there to either side no farther than the
+    segment agrees with another one.  Segments that have their anchor at several places stay whole, as do all of
+    that anchor.
+    """
+    if min(where) < 0:
+        return [(0, c) for c in contents]
+    left = _reach([c[:a][::-1] for c, a in zip(contents, where)])
+    right = _reach([c[a + ANCHOR :] for c, a in zip(contents, where)])
+    return [(a - x, c[a - x : a + ANCHOR + y]) for c, a, x, y in zip(contents, where, left, right)]
+
+
+def repeats_of(rows: list[tuple]) -> list[tuple]:
+    """(key, a, b) of the repeated spans in rows (anchor, key, place, total, content) of whole anchors, sorted by anchor."""
+    held: list[tuple] = []
+    for _, group in groupby(rows, key=lambda r: r[0]):
+        own = list(group)
+        parts = trimmed([r[4] for r in own], [(r[2] & 1023) - 1 for r in own])
+        held += [(r[1], (r[2] >> 20) + o, r[3], c) for r, (o, c) in zip(own, parts) if len(c) >= LENGTH]
+    if not held:
+        return []
+    hits = repeated_starts([h[3] for h in held], np.array([h[2] for h in held], dtype=float), LENGTH, SHARD)
+    return [(h[0], h[1] + a, h[1] + b) for h, hit in zip(held, hits) if h[2] < 2 for a, b in _spans(hit)]
+
+
 def merged_repeats(classes: DataFrame) -> DataFrame:
-    """(key, a, b): repeated spans in classes(anchor, key, start, total, content), whose anchors lie together, sorted."""
+    """(key, a, b): repeated spans in classes(anchor, key, place, total, content).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+    Anchors are dealt into groups of about BLOCK bytes, which a task holds one at a time.
+    """
+    size = classes.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    group = F.pmod(F.xxhash64("anchor"), F.lit(max(1, size // BLOCK)))
 
-        def out() -> pa.RecordBatch:
-            hits = repeated_starts([h[4] for h in held], np.array([h[3] for h in held], dtype=float), LENGTH, SHARD)
-            rows = [(h[1], h[2] + a, h[2] + b) for h, hit in zip(held, hits) if h[3] < 2 for a, b in _spans(hit)]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.int32()))], names=["key", "a", "b"])
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("anchor", "ascending"), ("key", "ascending"), ("place", "ascending")])
+        rows = repeats_of(list(zip(*(t.column(c).to_pylist() for c in ("anchor", "key", "place", "total", "content")))))
+        return pa.table({c: pa.array([r[i] for r in rows], k) for i, (c, k) in enumerate((("key", pa.binary()), ("a", pa.int64()), ("b", pa.int64())))})
 
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "start", "total", "content"))):
-                if held and size >= BLOCK and row[0] != held[-1][0]:
-                    yield out()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
-        if held:
-            yield out()
+    ship(classes.sparkSession)
+    return classes.select(group.alias("block"), "anchor", "key", "place", "total", "content").groupBy("block").applyInArrow(run, "key binary, a long, b long")
 
-    return arrow_map(classes.select("anchor", "key", "start", "total", "content"), run, "key binary, a int, b int")
 
+def pieces_of(content: bytes, anchor: int) -> list[tuple[int, int, int, int, int, int, list[int], list[int]]]:
+    """(first, strings, core, piece, strings' hashes) of a segment, hashes as two halves.
 
-def hashed_strings(classes: DataFrame) -> DataFrame:
-    """(hi, lo, key, at, total): the 128-bit hash of every string of the classes; equal strings of a class once, summed."""
+    Strings are grouped by how far before their first anchor they begin, PIECE distances to a piece; a piece's core
+    is what all strings of its distances have in common, so equal strings are in pieces of equal cores.
+    """
+    raw = np.frombuffer(content, np.uint8)
+    n = len(raw) - LENGTH + 1
+    spots = np.flatnonzero(anchor_hashes(raw).view(np.int64) == anchor)
+    begin = np.arange(n)
+    spot = spots[np.searchsorted(spots, begin)]
+    step = (spot - begin) // PIECE
+    first = np.flatnonzero((np.diff(spot, prepend=-1) != 0) | (np.diff(step, prepend=-1) != 0))
+    count = np.diff(first, append=n)
+    core = spot[first] - PIECE * step[first]
+    halves = []
+    for salt in (0, 0x51):
+        prefix = K.prefix_hash(raw ^ np.uint8(salt))
+        span = lambda a, b: K.span_hash(prefix, a, b).view(np.int64).tolist()  # noqa: B023, E731
+        halves.append((span(core, core + LENGTH - PIECE + 1), span(first, first + count - 1 + LENGTH), span(begin, begin + LENGTH)))
+    (c0, p0, s0), (c1, p1, s1) = halves
+    return [(a, k, c0[i], c1[i], p0[i], p1[i], s0[a : a + k], s1[a : a + k]) for i, (a, k) in enumerate(zip(first.tolist(), count.tolist()))]
+
+
+def hashed_repeats(classes: DataFrame) -> DataFrame:
+    """(key, a, b): repeated spans in the classes of hot anchors, by 128-bit hashes of their strings.
+
+    A piece whose core occurs once has no repeated string.  Equal pieces are repeated as a whole; only the strings
+    of the others are looked at one by one.
+    """
+    kinds = "key binary, a long, n long, total long, c0 long, c1 long, p0 long, p1 long, s0 array<long>, s1 array<long>"
+    names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(len(batch)):
-                raw = np.frombuffer(batch.column("content")[row].as_py(), np.uint8)
-                n = len(raw) - LENGTH + 1
-                halves = []
-                for salt in (0, 0x51):
-                    prefix = K.prefix_hash(raw ^ np.uint8(salt))
-                    halves.append(K.mix((prefix[LENGTH:] - prefix[:n]) * K.powers(len(raw))[1][:n]).view(np.int64))
-                key, start, total = (batch.column(c)[row].as_py() for c in ("key", "start", "total"))
-                yield pa.RecordBatch.from_arrays([pa.array(halves[0]), pa.array(halves[1]), pa.array([key] * n, pa.binary()), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(np.full(n, total))], names=["hi", "lo", "key", "at", "total"])
-
-    return arrow_map(classes.select("key", "start", "total", "content"), run, "hi long, lo long, key binary, at int, total long")
+            out = []
+            for row in batch.to_pylist():
+                start = row["place"] >> 20
+                out += [(row["key"], start + a, n, row["total"], *rest) for a, n, *rest in pieces_of(row["content"], row["anchor"])]
+            types = [pa.binary(), *[pa.int64()] * 7, *[pa.list_(pa.int64())] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+
+    pieces = written(arrow_map(classes.select("key", "anchor", "place", "total", "content"), run, kinds), "suffix-pieces")
+    cores = pieces.groupBy("c0", "c1").agg(F.sum("total").alias("s")).where("s > 1").select("c0", "c1")
+    alive = pieces.join(cores, ["c0", "c1"], "left_semi")
+    whole = written(alive.groupBy("p0", "p1").agg(F.sum("total").alias("sum"), F.min(F.struct("key", "a")).alias("at"), F.first("n").alias("n"), F.first("s0").alias("s0"), F.first("s1").alias("s1")), "suffix-pieces")
+    resolved = pieces.where("total < 2").select("key", "a", "n", "p0", "p1").join(whole.where("sum > 1").select("p0", "p1"), ["p0", "p1"], "left_semi")
+    strings = whole.select("sum", "at.key", "at.a", F.posexplode(F.arrays_zip("s0", "s1")).alias("i", "s")).select("sum", "key", (F.col("a") + F.col("i")).alias("a"), "s.s0", "s.s1")
+    again = strings.groupBy("s0", "s1").agg(F.sum("sum").alias("s")).where("s > 1").select("s0", "s1")
+    single = strings.where("sum < 2").join(again, ["s0", "s1"], "left_semi")
+    spans = resolved.select("key", "a", (F.col("a") + F.col("n") - 1 + LENGTH).alias("b"))
+    return spans.union(single.select("key", "a", (F.col("a") + LENGTH).alias("b")))
 
 
 def cut_texts(texts: DataFrame) -> DataFrame:
@@ -210,33 +334,39 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     touched.  Nothing depends on doc_id, which may be null; other columns are not looked at.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.unhex(text_key(text)).alias("key"))
+    rows = docs.select("doc_id", text.alias("text"), text_key(text).alias("sha"))
+    rows = rows.withColumn("key", F.substring(F.unhex("sha"), 1, 16))
     segs = written(find_segments(rows.where(F.octet_length("text") >= LENGTH)), "suffix-segments")
-    shared = segs.groupBy("anchor").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("anchor")
-    kept = segs.join(shared, "anchor").select("key", "start", "n", "anchor")
-    per_text = kept.groupBy("key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("segs"))
+    several = F.col("place").bitwiseAND(1023) == 0
+    shared = segs.groupBy("anchor").agg(F.count("*").alias("c"), F.bool_or(several).alias("t")).where("c > 1 or t").select("anchor")
+    per_text = segs.join(shared, "anchor").groupBy("key").agg(F.collect_set(F.struct("place", "anchor")).alias("segs"))
     whole = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    texts = written(whole.join(per_text, "key"), "suffix-texts")
-    cuts = written(cut_segments(texts), "suffix-cuts")
-
-    totals = cuts.groupBy("name").agg(F.sum("copies").alias("total"))
-    multiple = cuts.select("key", "start", "n", "name").join(totals.where("total > 1"), "name")
-    whole_spans = multiple.select("key", F.col("start").alias("a"), (F.col("start") + F.col("n") + LENGTH - 1).alias("b"))
-    classes = cuts.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("key", "start")).alias("at"), F.first("content").alias("content"))
-    classes = written(classes.select("anchor", "total", "at.key", "at.start", "content"), "suffix-classes")
-    sizes = classes.groupBy("anchor").agg(F.count("*").alias("m"), F.sum((F.col("total") < 2).cast("int")).alias("open")).where("open > 0")
-    few = classes.join(sizes.where(F.col("m") <= HOT).select("anchor"), "anchor")
-    merged = merged_repeats(few.repartition("anchor").sortWithinPartitions("anchor"))
-    hot = classes.join(sizes.where(F.col("m") > HOT).select("anchor"), "anchor")
-    strings = written(hashed_strings(hot), "suffix-strings")
-    again = strings.groupBy("hi", "lo").agg(F.sum("total").alias("sum")).where("sum > 1").select("hi", "lo")
-    single = strings.where("total < 2").join(again, ["hi", "lo"]).select("key", F.col("at").alias("a"), (F.col("at") + LENGTH).alias("b"))
-
-    spans = whole_spans.union(merged).union(single).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    texts = bucketed(whole.join(per_text, "key"), "key", "suffix_texts")  # joined by key twice more, without another shuffle
+    names = written(name_segments(texts), "suffix-names")
+
+    totals = names.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("key", "place")).alias("at"), F.first("cores").alias("cores"))
+    totals = written(totals.select("anchor", "name", "total", "at.key", "at.place", "cores"), "suffix-totals")
+    start, n = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(1023)
+    multiple = names.select("key", "place", "anchor", "name").join(totals.where("total > 1").select("anchor", "name"), ["anchor", "name"])
+    whole_spans = multiple.select("key", start.alias("a"), (start + n + LENGTH - 1).alias("b"))
+
+    # a segment goes on if another one of its anchor shares a core, or if its anchor stands at several places somewhere
+    cores = totals.select("anchor", "key", "place", "total", F.explode("cores").alias("core"))
+    met = cores.groupBy("anchor", "core").agg(F.count("*").alias("k"), F.count_if(F.col("total") < 2).alias("open")).where("k > 1 and open > 0").select("anchor", "core")
+    alive = cores.join(met, ["anchor", "core"]).select("anchor", "key", "place", "total")
+    loose = totals.groupBy("anchor").agg(F.bool_or(several).alias("t"), F.count_if(F.col("total") < 2).alias("open")).where("t and open > 0").select("anchor")
+    chosen = written(alive.union(totals.join(loose, "anchor").select("anchor", "key", "place", "total")).distinct(), "suffix-chosen")
+    sizes = chosen.groupBy("anchor").agg(F.count("*").alias("m"))
+    per_text = chosen.join(sizes, "anchor").groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "total", "m")).alias("chosen"))
+    classes = written(cut_segments(texts.join(per_text, "key")), "suffix-classes")
+    merged = merged_repeats(classes.where(F.col("m") <= HOT))
+    hashed = hashed_repeats(classes.where(F.col("m") > HOT))
+
+    spans = whole_spans.union(merged).union(hashed).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     changed = cut_texts(texts.join(spans, "key"))
-    out = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "key").join(changed, "key", "left")
+    out = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "key", "sha").join(changed, "key", "left")
     zero = F.lit(0).cast("long")
-    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", F.lower(F.hex("key"))).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,30 +192,33 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tup
     kept = [docs.schema[c] for c in keep]
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     model = docs.sparkSession.sparkContext.broadcast(net)
+    inside, _, name = text.rpartition(".")  # a text within a kept struct isn't sent twice
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in batches:
             found, scores = [], []
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)
-            for lo, hi, data, at in slices(batch.column("_text"), 1 << 19):
+            texts = pc.struct_field(batch.column(inside), name) if inside else batch.column("_text")
+            for lo, hi, data, at in slices(texts.cast(pa.string()), 1 << 19):
                 p = predict_texts(own, data, at) if own else np.zeros((hi - lo, 1))
                 best = p.argmax(axis=1)
                 for i in range(hi - lo):
                     good = bool(letters[lo + i]) and own is not None
                     found.append(own.languages[best[i]] if good else UNDETERMINED)
                     scores.append(min(1.0, float(p[i, best[i]])) if good else 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("_text"), letters.alias("_letters")), run, schema)
+    sent = [] if inside else [F.col(text).cast("string").alias("_text")]
+    return arrow_map(docs.select(*keep, letters.alias("_letters"), *sent), run, schema)
 
 
 def accepted(docs: DataFrame, net: ByteNet | None, least: float = LEAST_SCORE) -> DataFrame:
     """``docs`` without the rows whose language is undetermined or scored below ``least``; without a network, all stay."""
     if net is None:
         return docs
-    rows = identify(packed(docs, text=F.col("text")), net, keep=("row",))
+    rows = identify(packed(docs), net, text="row.text", keep=("row",))
     return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")
 
 

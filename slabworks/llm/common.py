@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -33,9 +34,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/slabworks/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _freed(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished writes now: it waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes a written table that nothing that is still to run reads."""
+    spark = table.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def packed(df: DataFrame, **added: Column) -> DataFrame:
     """Column row, a struct of all columns, and the added ones: no column of the caller's can clash with those."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(name) for name, c in added.items()])
@@ -53,6 +69,7 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = f"{name}_{uuid.uuid4().hex}"
     df.write.bucketBy(parts, key).sortBy(key).format("parquet").option("path", f"{shared_dir(spark)}/slabworks/{own}").saveAsTable(own)
+    _freed(spark)
     return spark.table(own)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from slabworks.llm import textkit as K
 from slabworks.llm.bwt import repeated_starts
-from slabworks.llm.common import arrow_map, bucketed, table, text_key, written
+from slabworks.llm.common import arrow_map, bucketed, dropped, table, text_key, written
 from slabworks.session import ship
 
 LENGTH = 400
@@ -339,16 +339,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     segs = written(find_segments(rows.where(F.octet_length("text") >= LENGTH)), "suffix-segments")
     several = F.col("place").bitwiseAND(1023) == 0
     shared = segs.groupBy("anchor").agg(F.count("*").alias("c"), F.bool_or(several).alias("t")).where("c > 1 or t").select("anchor")
-    per_text = segs.join(shared, "anchor").groupBy("key").agg(F.collect_set(F.struct("place", "anchor")).alias("segs"))
+    per_text = written(segs.join(shared, "anchor").groupBy("key").agg(F.collect_set(F.struct("place", "anchor")).alias("segs")), "suffix-kept")
+    dropped(segs)
     whole = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = bucketed(whole.join(per_text, "key"), "key", "suffix_texts")  # joined by key twice more, without another shuffle
+    dropped(per_text)
     names = written(name_segments(texts), "suffix-names")
 
     totals = names.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("key", "place")).alias("at"), F.first("cores").alias("cores"))
     totals = written(totals.select("anchor", "name", "total", "at.key", "at.place", "cores"), "suffix-totals")
     start, n = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(1023)
     multiple = names.select("key", "place", "anchor", "name").join(totals.where("total > 1").select("anchor", "name"), ["anchor", "name"])
-    whole_spans = multiple.select("key", start.alias("a"), (start + n + LENGTH - 1).alias("b"))
+    whole_spans = written(multiple.select("key", start.alias("a"), (start + n + LENGTH - 1).alias("b")), "suffix-whole")
+    dropped(names)
 
     # a segment goes on if another one of its anchor shares a core, or if its anchor stands at several places somewhere
     cores = totals.select("anchor", "key", "place", "total", F.explode("cores").alias("core"))
@@ -356,11 +359,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     alive = cores.join(met, ["anchor", "core"]).select("anchor", "key", "place", "total")
     loose = totals.groupBy("anchor").agg(F.bool_or(several).alias("t"), F.count_if(F.col("total") < 2).alias("open")).where("t and open > 0").select("anchor")
     chosen = written(alive.union(totals.join(loose, "anchor").select("anchor", "key", "place", "total")).distinct(), "suffix-chosen")
+    dropped(totals)
     sizes = chosen.groupBy("anchor").agg(F.count("*").alias("m"))
     per_text = chosen.join(sizes, "anchor").groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "total", "m")).alias("chosen"))
     classes = written(cut_segments(texts.join(per_text, "key")), "suffix-classes")
-    merged = merged_repeats(classes.where(F.col("m") <= HOT))
-    hashed = hashed_repeats(classes.where(F.col("m") > HOT))
+    dropped(chosen)
+    merged = written(merged_repeats(classes.where(F.col("m") <= HOT)), "suffix-merged")
+    hashed = written(hashed_repeats(classes.where(F.col("m") > HOT)), "suffix-hashed")
+    dropped(classes)
 
     spans = whole_spans.union(merged).union(hashed).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     changed = cut_texts(texts.join(spans, "key"))

@@ -691,7 +691,7 @@ def quality_scores(spark, sf_dir):
 
 @query("quality_policy")
 def quality_policy(spark, sf_dir):
-    return quality.two_stage_policy(quality.score_series(quality.series_metrics(spark, sf_dir)))
+    return quality.policy(quality.series_metrics(spark, sf_dir))
 
 
 @query("expression_pca")

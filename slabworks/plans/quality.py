@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from slabworks.functions.columns import clip, lit, over
 from slabworks.operators import windows as W
 from slabworks.operators.morphology import slice_geometry
-from slabworks.operators.review import window_evidence
+from slabworks.operators.review import confirmed_loss, supporting_share, window_evidence
+from slabworks.session import held
 from slabworks.sources import fixtures as X
 
 # Fixed values of the scoring rules: weights of each domain's metrics, and of the domains in the score.
@@ -92,14 +93,15 @@ def loss_evidence(slices: DataFrame, window: int) -> DataFrame:
     return W.smooth_taper(out, ("n_locations", "hull_area"))
 
 
-def score_series(slices: DataFrame, window: int = 5) -> DataFrame:
+def score_series(slices: DataFrame, window: int = 5, wide: DataFrame | None = None) -> DataFrame:
     """Adds domain scores, quality_anomaly_score, protection and recommendation (keep, review, exclude) to slices.
 
     The support window is the primary one widened to at most nine slices; a metric takes the greater of both scores.
+    wide: the anomalies under the support window, if they are known.
     """
     keys = ["dataset_id", "slice_index"]
     support = max(window, 9)
-    near, wide = _anomalies(slices, window), _anomalies(slices, support)
+    near, wide = _anomalies(slices, window), _anomalies(slices, support) if wide is None else wide
     names = [c for c in near.columns if c.endswith("_anomaly")]
     wide = wide.select(*keys, *[F.col(c).alias(f"s_{c}") for c in names])
     both = near.join(wide, keys).select(*keys, "internal", *[F.greatest(c, f"s_{c}").alias(c) for c in names])
@@ -125,28 +127,47 @@ def score_series(slices: DataFrame, window: int = 5) -> DataFrame:
     return out.withColumn("recommendation", F.when(F.coalesce(exclude, F.lit(False)), "exclude").when(review, "review").otherwise("keep"))
 
 
+def _severity(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("severity", F.greatest("density", "expression", "damage", "continuity"))
+
+
 def evidence(slices: DataFrame, windows: tuple[int, ...] = (3, 5, 7)) -> DataFrame:
     """Scores under each window, gathered to one row a slice."""
-    scored = []
-    for w in windows:
-        frame = score_series(slices, w)
-        scored.append((w, frame.withColumn("severity", F.greatest("density", "expression", "damage", "continuity"))))
-    return window_evidence(scored)
+    return window_evidence([(w, _severity(score_series(slices, w))) for w in windows])
 
 
-def two_stage_policy(scored: DataFrame) -> DataFrame:
-    """dataset_id, slice_index, score, band and call: bands of the score, then the tier of an uncertain one.
+def policy(slices: DataFrame, primary: int = 5, windows: tuple[int, ...] = (3, 5, 7)) -> DataFrame:
+    """The two-stage policy over the scores of the primary window and the evidence of all windows, which include it.
 
-    A slice in between is excluded only if its tier's number of strong domains and severity are met with full
-    confidence; what stays unresolved is kept.
+    Metrics and scores are a row a slice and read many times, so they are held; planning them anew takes longer.
+    """
+    slices = held(slices)
+    wide = held(_anomalies(slices, 9))
+    scored = {w: held(_severity(score_series(slices, w, wide if w <= 9 else None))) for w in windows}
+    return two_stage_policy(scored[primary], window_evidence(list(scored.items())), primary)
+
+
+def two_stage_policy(scored: DataFrame, windows: DataFrame, primary: int = 5) -> DataFrame:
+    """dataset_id, slice_index, score, band and call: bands of the score, then the tier of an uncertain one, then losses.
+
+    scored is score_series under the primary window, windows the evidence of all of them.  A slice of the upper band is
+    excluded if the detector says so too, otherwise it's uncertain like those in between.  An uncertain one is excluded
+    only if the detector doesn't keep it and its tier's number of strong domains and severity are met with full confidence,
+    here and in every window.  A loss that the primary window and one more (if there is one) show excludes in any band.
+    What stays unresolved is kept.
     """
     q = F.col("quality_anomaly_score")
     severity = F.greatest("density", "expression", "damage", "continuity")
     band = F.when(q <= KEEP_BELOW, "keep").when(q >= EXCLUDE_FROM, "exclude").otherwise("review")
+    whole = F.col("internal") & ~F.col("protected")
+    standard = (q >= EXCLUDE_FROM) & (F.col("recommendation") == "exclude") & whole
     met = F.lit(False)
     for _, low, high, strong, least in TIERS:
-        met = met | ((q >= low) & (q < high) & (F.col("n_strong") >= strong) & (severity >= least))
-    confident = (F.col("score_confidence") >= CONFIDENCE) & ~F.col("protected")
-    lost = F.col("geometry_loss_candidate") | F.col("capture_loss_candidate")
-    call = F.when((band == "exclude") & confident, "exclude").when((band == "review") & confident & (met | lost), "exclude").otherwise("keep")
-    return scored.select("dataset_id", "slice_index", F.round(q, 6).alias("score"), band.alias("band"), F.round(severity, 6).alias("severity"), "n_strong", call.alias("call"))
+        agreed = supporting_share(low, strong, least) + 1e-9 >= STABILITY
+        met = met | ((q >= low) & (q < high) & (F.col("n_strong") >= strong) & (severity >= least) & agreed)
+    met = met & (q > KEEP_BELOW) & F.col("recommendation").isin("review", "exclude") & whole & (F.col("score_confidence") >= CONFIDENCE)
+    lost = confirmed_loss("geometry", primary) | confirmed_loss("capture", primary)
+    some = lambda c: F.coalesce(c, F.lit(False))
+    call = F.when(some(standard) | some(met) | some(lost), "exclude").otherwise("keep")
+    rows = scored.join(windows.select("dataset_id", "slice_index", "details"), ["dataset_id", "slice_index"], "left")
+    return rows.select("dataset_id", "slice_index", F.round(q, 6).alias("score"), band.alias("band"), F.round(severity, 6).alias("severity"), "n_strong", call.alias("call"))

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -33,3 +33,11 @@ def ship(spark: SparkSession) -> None:
             z.write(p, f"{root.name}/{p.relative_to(root)}")
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
+
+
+def held(frame: DataFrame) -> DataFrame:
+    """``frame`` computed and checkpointed to the folder that all executors share; a session without one gets a temporary folder."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="slabworks-checkpoint-"))
+    return frame.checkpoint()

@@ -58,6 +58,18 @@ def test_registration_recovers_and_reports_degenerate(spark):
     assert got[0].theta == pytest.approx(1.2, abs=0.02) and got[0].residual < 0.02 and got[1].status == "degenerate" and len(got) == 2
 
 
+def test_registration_warns_of_doubtful_fits():
+    rng = np.random.default_rng(8)
+    half = rng.normal(size=(80, 2)) * [3, 1]
+    even = np.vstack([half, -half])  # looks the same after half a turn
+    turned = registration.register(registration.turned(even, 0.4), even)
+    assert turned["ambiguity"] < 1.05 and turned["residual"] < 0.08 and turned["status"] == "warning"
+    loose = registration.register(half * 4, half)
+    assert loose["residual"] > 0.08 and loose["status"] == "warning"
+    blob = np.vstack([half, rng.normal(size=(60, 2)) * 0.5 + [6, 4]])
+    assert registration.register(registration.turned(blob, 0.4), blob)["status"] == "estimated"
+
+
 def test_components_and_hull():
     square = np.array([[0, 0], [0, 4], [4, 0], [4, 4], [1, 1], [2, 2]], float)
     assert morphology.hull_area(square) == 16 and morphology.hull_area(square[:2]) is None and morphology.hull_area(np.array([[0, 0], [1, 1], [2, 2.0]])) is None

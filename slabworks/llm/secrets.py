@@ -1,8 +1,8 @@
 """Secret scans in SQL functions only, with corpus-wide ownership frequency.
 
 Patterns give candidate spans.  The hash of each candidate's value is counted over the whole corpus by distinct
-repositories (texts within a source) and distinct owners (sources): a value that many owners hold is a copied
-example, one held by few is a live-looking credential.
+repositories (rows within a source, by doc_id and text) and distinct owners (sources): a value that many owners hold
+is a copied example, one held by few is a live-looking credential.  Repositories don't enter the verdict.
 """
 
 from __future__ import annotations

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,33 +19,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark deletes a query's shuffle files when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_folders: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a temporary folder is made and set for the session.
+    Where that is unset, a local session (tests, a laptop) gets a temporary folder; a cluster has no other folder
+    that all executors see, so that is an error there.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="slabworks-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one; it is removed when the driver's Python ends.
+
+    Not before that: a result may still be computed from its tables, again if an executor is lost.
+    """
+    path = f"{shared_dir(spark)}/slabworks/{spark.sparkContext.applicationId}"
+    if path not in _folders:
+        _folders.add(path)
+        atexit.register(_deleted, path)
+    return path
+
+
+def _deleted(path: str) -> None:
+    jvm = SparkContext._jvm
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+    except Exception:  # noqa: BLE001  the JVM may have ended before; nothing but disk is at stake
+        pass
+
+
+@contextmanager
+def _cleaning(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/slabworks/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _freed(spark)
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with _cleaning(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _freed(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished writes now: it waits for the driver's garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def dropped(table: DataFrame) -> None:
     """Deletes a written table that nothing that is still to run reads."""
     spark = table.sparkSession
@@ -63,14 +99,21 @@ def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """As ``written``, in buckets of a key: later joins by that key don't shuffle this side again."""
+@contextmanager
+def bucketed(df: DataFrame, key: str, name: str) -> Iterator[DataFrame]:
+    """As ``written``, in buckets of a key, so that joins by it don't shuffle this side; the table is gone afterwards."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(parts, key).sortBy(key).format("parquet").option("path", f"{shared_dir(spark)}/slabworks/{own}").saveAsTable(own)
-    _freed(spark)
-    return spark.table(own)
+    path = f"{run_dir(spark)}/{own}"
+    with _cleaning(spark):
+        df.write.bucketBy(parts, key).sortBy(key).format("parquet").option("path", path).saveAsTable(own)
+    try:
+        yield spark.table(own)
+    finally:
+        spark.sql(f"DROP TABLE {own}")
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -11,11 +11,14 @@ What keeps hot lists linear:
   or passage are seldom among them.
 * Each list proposes its members to one hub, the member whose retained values are the most common in the corpus.  Verified links are
   contracted to components, and only lists that still hold several components go on.
-* Of those, short lists propose all pairs between components.  Members of long ones go through an exact prefix
-  filter on their full sets, rarest shingles first, again between components only.
-
-The first step misses a pair at exactly the limit with a chance of about 3e-13 (binomial with 48 draws at 0.8);
-everything else is exact.
+* Of those, short lists propose all pairs between components.  Long ones would propose too many, so their members
+  are proposed by the rarest shingles of their full sets, again between components only.
+* Every proposed pair passes the union sketch's estimate before its full sets are compared.
+
+A linked pair at exactly the limit shares fewer than LEAST_SHARED of K retained values with a chance of about 3e-13
+(binomial with 48 draws at 0.8), and is then missed.  Words are hashed modulo a prime, shingles are 63-bit values
+made of their words' hashes: full sets are compared as sets of those, so a verdict can be wrong only for a pair
+within a shingle or two of the limit, and only if two of its some thousand values collide by chance.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ def shingle_sets(col: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     for lo, hi, data, at in K.slices(col):
         low = K.LOWER[data]
         starts, ends, doc = K.words(low, at)
-        w = K.span_hash(K.prefix_hash(low), starts, ends)
+        w = K.Spans(low).of(starts, ends)
         every = K.window_hash(w, words) >> K.U64(1)
         first = np.searchsorted(doc, np.arange(hi - lo + 1))
         for i in range(hi - lo):
@@ -218,7 +221,7 @@ def nodes_named(docs: DataFrame, words: int, percent: int) -> DataFrame:
     long_ = written(still.where(F.col("m") > SHORT_LIST).select("sid", "comp").distinct(), "near-long")
     wanted = _reps_of(more, reps).select("sid", "look", "rep_id").union(reps.join(long_, "sid", "left_semi").select("sid", "look", "rep_id")).distinct()
     sets = full_sets(docs, wanted, words)
-    rest = written(exact_prefix_pairs(sets, long_, percent), "near-pairs")
+    rest = written(estimated(exact_prefix_pairs(sets, long_, percent), reps, percent), "near-pairs")
     more_links = verified(more.union(rest).distinct(), sets, percent)
 
     names = more_links.join(labels.select(F.col("sid").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("sid").alias("b"), F.col("label").alias("lb")), "b", "left")

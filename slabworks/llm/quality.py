@@ -43,7 +43,7 @@ def base_counts(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     n = len(at) - 1
     nonspace = ~K.SPACE[data]
     starts, ends, doc = K.words(data, at)
-    prefix = K.prefix_hash(data)
+    spans = K.Spans(data)
     out = {
         "n_words": np.bincount(doc, minlength=n),
         "word_chars": _sums(nonspace & K.LEAD[data], at),
@@ -55,17 +55,50 @@ def base_counts(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     full = seen[line_to] > seen[line_from]
     line_from, line_to = line_from[full], line_to[full]
     line_doc = K.document_of(line_from, at)
-    _, first = np.unique(K.mix(K.span_hash(prefix, line_from, line_to) ^ K.mix(line_doc.astype(K.U64))), return_index=True)
-    out["n_dup_lines"] = np.bincount(line_doc, minlength=n) - np.bincount(line_doc[first], minlength=n)
-    covered = np.zeros(len(doc), dtype=bool)
-    if len(doc) >= 3:
-        key = K.mix(K.window_hash(K.span_hash(prefix, starts, ends), 3) ^ K.mix(doc[:-2].astype(K.U64)))
-        inside = np.flatnonzero(doc[:-2] == doc[2:])
-        _, which, count = np.unique(key[inside], return_inverse=True, return_counts=True)
-        again = inside[count[which] >= 2]
+    out["n_dup_lines"] = np.bincount(line_doc[_repeated_lines(data, line_from, line_to, line_doc, spans)], minlength=n)
+    out["n_repeat_words"] = np.bincount(doc[_repeated_words(data, starts, ends, doc, spans)], minlength=n)
+    return out
+
+
+def _repeated_lines(data: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray, spans: K.Spans) -> np.ndarray:
+    """Whether each line equals an earlier one of its text; lines of equal hash are compared by their bytes."""
+    _, rep, of = np.unique(K.mix(spans.of(first, last) ^ K.mix(doc.astype(K.U64))), return_index=True, return_inverse=True)
+    rep = rep[of]
+    again = np.flatnonzero(rep != np.arange(len(doc)))
+    a, b = again, rep[again]
+    out = np.zeros(len(doc), dtype=bool)
+    if (doc[a] == doc[b]).all() and (last[a] - first[a] == last[b] - first[b]).all() and K.same_spans(data, first[a], first[b], last[a] - first[a]):
+        out[again] = True
+        return out
+    seen = set()
+    for i, line in enumerate(zip(doc.tolist(), (data[x:y].tobytes() for x, y in zip(first, last)))):
+        out[i] = line in seen
+        seen.add(line)
+    return out
+
+
+def _repeated_words(data: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray, spans: K.Spans) -> np.ndarray:
+    """Whether each word is in a 3-word window that its text has at least twice; windows of equal hash are compared."""
+    out = np.zeros(len(doc), dtype=bool)
+    inside = np.flatnonzero(doc[:-2] == doc[2:]) if len(doc) >= 3 else np.zeros(0, np.int64)
+    if not len(inside):
+        return out
+    key = K.mix(K.window_hash(spans.of(first, last), 3)[inside] ^ K.mix(doc[inside].astype(K.U64)))
+    _, rep, of, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(count[of] >= 2)
+    a, b = inside[again], inside[rep[of[again]]]
+    size = last - first
+    if (doc[a] == doc[b]).all() and all((size[a + j] == size[b + j]).all() and K.same_spans(data, first[a + j], first[b + j], size[a + j]) for j in range(3)):
         for j in range(3):
-            covered[again + j] = True
-    out["n_repeat_words"] = np.bincount(doc[covered], minlength=n)
+            out[a + j] = True
+        return out
+    windows: dict[tuple, list[int]] = {}
+    for i in inside.tolist():
+        windows.setdefault((doc[i], *(data[first[i + j] : last[i + j]].tobytes() for j in range(3))), []).append(i)
+    for places in windows.values():
+        if len(places) > 1:
+            for j in range(3):
+                out[np.array(places) + j] = True
     return out
 
 
@@ -172,8 +205,32 @@ def judge(docs: DataFrame, ratio: Ratio, text: str = "text", keep: tuple[str, ..
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return judge(docs, fit(docs, trusted(docs, table(spark, sf_dir, "labels"))))
-
+    out = judge(docs, fit(docs, trusted(docs, table(spark, sf_dir, "labels"))))
+    return out.withColumn("score", F.round("score", 6))
+
+
+OP4_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM d),
+tri AS (SELECT r, i, w[i : i + 2] AS t FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM words)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM tri) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + j) AS n FROM again, (SELECT unnest([0, 1, 2]) AS j) GROUP BY r),
+lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+base AS (SELECT r, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM words),
+bytes AS (SELECT r, unnest(b) AS b, unnest(range(len(b))) AS i FROM (SELECT r, regexp_extract_all(hex(encode(text)), '..') AS b FROM d)),
+four AS (SELECT r, ('0x' || b)::UBIGINT AS b0, ('0x' || lead(b, 1) OVER s)::UBIGINT AS b1, ('0x' || lead(b, 2) OVER s)::UBIGINT AS b2, ('0x' || lead(b, 3) OVER s)::UBIGINT AS b3 FROM bytes WINDOW s AS (PARTITION BY r ORDER BY i)),
+mixed AS (SELECT r, (((b0 * 16777619 % 4294967296 + b1) * 16777619 % 4294967296 + b2) * 16777619 % 4294967296 + b3) % 4294967296 AS x FROM four WHERE b3 IS NOT NULL),
+grams AS (SELECT r, (xor(x, x >> 15) * 2246822507::UBIGINT % 4294967296) >> 16 AS bucket FROM mixed),
+good AS (SELECT r FROM d SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1 AND coalesce(toxic, 0) = 0) g USING (doc_id)),
+raw AS (SELECT bucket, count(*)::DOUBLE AS n FROM grams GROUP BY bucket),
+target AS (SELECT bucket, count(*)::DOUBLE AS n FROM grams SEMI JOIN good USING (r) GROUP BY bucket),
+sums AS (SELECT (SELECT sum(n) FROM raw) AS nr, (SELECT coalesce(sum(n), 0) FROM target) AS nt),
+ratio AS (SELECT bucket, CASE WHEN nt > 0 THEN ln((coalesce(t.n, 0) + {BUCKETS} * (raw.n / nr)) / (nt + {BUCKETS}) / (raw.n / nr)) ELSE 0 END AS v FROM raw LEFT JOIN target t USING (bucket), sums),
+scores AS (SELECT r, avg(v) AS score FROM grams JOIN ratio USING (bucket) GROUP BY r),
+every AS (SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words, coalesce(score, 0) AS score
+  FROM d JOIN base USING (r) LEFT JOIN lines l USING (r) LEFT JOIN rep p USING (r) LEFT JOIN scores USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(score, 6) AS score, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND score >= {THRESHOLD} AS kept FROM every
+"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_quality": op4_quality}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_quality": OP4_SQL}

@@ -1,4 +1,4 @@
-"""Vectorised work on batches of UTF-8 texts: slices, words, span hashes.
+"""Vectorised work on batches of UTF-8 texts: slices, words, hashes of spans.
 
 All functions take whole texts as one byte array with offsets, as Arrow stores them; nothing loops over bytes.
 """
@@ -108,16 +108,89 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, document_of(starts, at)
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """n + 1 prefix sums from which span_hash takes the hash of any span."""
-    out = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(_BYTE[data] * powers(len(data))[0], dtype=U64, out=out[1:])
-    return out
+def rolling(data: np.ndarray, width: int) -> np.ndarray:
+    """A value for the ``width`` bytes from each place, modulo 2**64: to choose places by, never to compare contents."""
+    n = len(data) - width + 1
+    prefix = np.zeros(len(data) + 1, dtype=U64)
+    np.cumsum(_BYTE[data] * powers(len(data))[0], dtype=U64, out=prefix[1:])
+    return mix((prefix[width:] - prefix[:n]) * powers(len(data))[1][:n])
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Equal spans of bytes get equal 64-bit values wherever they stand."""
-    return mix((prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts] + (ends - starts).astype(U64))
+# The hash that contents are compared by is a polynomial modulo a prime: modulo 2**64 some pairs of texts collide
+# whatever the base (a Thue-Morse sequence of 1,024 letters and its complement).
+_P = (1 << 61) - 1
+_BASES = (0x1B9D0E4F3A7C5826, 0x0C6A1F5D93E2B74D)
+_BLOCK = 1 << 22
+_tables: dict[int, list[np.ndarray]] = {}
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo P."""
+    x = (x & U64(_P)) + (x >> U64(61))
+    return np.where(x >= U64(_P), x - U64(_P), x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo P, for values below P."""
+    low = U64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> U64(31), a & low, b >> U64(31), b & low
+    mid = a1 * b0 + a0 * b1
+    return _fold(U64(2) * a1 * b1 + (mid >> U64(30)) + ((mid & U64((1 << 30) - 1)) << U64(31)) + a0 * b0)
+
+
+def _prime_powers(base: int, n: int) -> list[np.ndarray]:
+    """High and low halves of base**i and the whole of base**-i modulo P, for i < n."""
+    if base not in _tables or len(_tables[base][2]) < n:
+        m = max(n, SLICE + 1)
+        both = []
+        for b in (base % _P, pow(base, -1, _P)):
+            out = np.ones(m, dtype=U64)
+            k = 1
+            while k < m:
+                step = np.full(1, pow(b, k, _P), dtype=U64)
+                out[k : 2 * k] = _times(out[: min(k, m - k)], step)
+                k *= 2
+            both.append(out)
+        _tables[base] = [(both[0] >> U64(31)).astype(np.uint32), (both[0] & U64((1 << 31) - 1)).astype(np.uint32), both[1]]
+    return _tables[base]
+
+
+class Spans:
+    """64-bit values of any spans of one byte array: equal spans get equal values wherever they stand.
+
+    Two given spans that differ collide with a chance of about their length in 2**61, for each of the two bases.
+    """
+
+    def __init__(self, data: np.ndarray, base: int = 0):
+        high, low, self.inverse = _prime_powers(_BASES[base], len(data) + 1)
+        symbols = data.astype(U64) + U64(1)
+        self.sums = []
+        for powers_ in (high, low):
+            out = np.zeros(len(data) + 1, dtype=U64)
+            for a in range(0, len(data), _BLOCK):  # a block's sums stay below 2**61
+                part = out[a + 1 : a + _BLOCK + 1]
+                np.cumsum(symbols[a : a + _BLOCK] * powers_[a : a + len(part)], out=part)
+                part += _fold(out[a : a + 1])
+            self.sums.append(out)
+
+    def _at(self, places: np.ndarray) -> np.ndarray:
+        high, low = (_fold(s[places]) for s in self.sums)
+        return _fold(((high & U64((1 << 30) - 1)) << U64(31)) + (high >> U64(30)) + low)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        span = _fold(self._at(ends) + U64(_P) - self._at(starts))
+        return mix(_times(span, self.inverse[starts]) + (ends - starts).astype(U64) * U64(_BASE))
+
+
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bool:
+    """Whether the n bytes from each a are those from the b beside it."""
+    cut = np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + 1, SLICE), side="right")
+    for lo, hi in zip(cut, [*cut[1:], len(n)]):
+        k = n[lo:hi]
+        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        if (data[np.repeat(a[lo:hi], k) + step] != data[np.repeat(b[lo:hi], k) + step]).any():
+            return False
+    return True
 
 
 def window_hash(values: np.ndarray, k: int) -> np.ndarray:

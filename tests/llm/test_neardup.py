@@ -7,6 +7,7 @@ import pytest
 from slabworks.llm import neardup
 from slabworks.llm.components import connected_components
 from tests.conftest import SF
+from tests.llm.collisions import thue_morse
 from tests.llm.oracle import compare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -91,3 +92,9 @@ def test_components(spark):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 50: 0, 100: 100, 101: 100, 200: 200}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_collide_modulo_a_power_of_two(spark):
+    x, y = thue_morse()
+    p, q = thue_morse("aa", "bb")
+    check(spark, [(1, x), (2, y), (3, f"{x} {p} {x} {q} {y}"), (4, f"{y} {q} {y} {p} {x}"), (5, x.upper())])

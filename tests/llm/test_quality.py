@@ -6,9 +6,11 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from slabworks.llm import quality
+from slabworks.llm import quality, textkit
 from slabworks.llm.textkit import utf8
 from tests.conftest import SF
+from tests.llm.collisions import thue_morse
+from tests.llm.oracle import compare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,3 +71,21 @@ def test_odd_rows(spark):
     none = quality.fit(docs.limit(0), docs.limit(0))
     assert quality.judge(docs.limit(0), none).count() == 0
     assert {r.score for r in quality.judge(docs, none).collect()} == {0.0}
+
+
+def test_lines_that_collide_modulo_a_power_of_two():
+    x, y = thue_morse()
+    text = f"{x}\n{y}\n{x} {y} {x}\n{y} {x} {y}"
+    got = quality.base_counts(*utf8(pa.array([text, text + "\n" + x])))
+    assert [[int(got[c][i]) for c in quality.BASE_COLUMNS] for i in range(2)] == [brute(text), brute(text + "\n" + x)]
+
+
+def test_counts_are_exact_whatever_the_hash(monkeypatch):
+    texts = ["a b c a b c\na b c\nx", "a b c d\ne\ne", "one\ntwo\none two one two one", None]
+    monkeypatch.setattr(textkit.Spans, "of", lambda self, starts, ends: np.zeros(len(starts), np.uint64))
+    got = quality.base_counts(*utf8(pa.array(texts, pa.string())))
+    assert [[int(got[c][i]) for c in quality.BASE_COLUMNS] for i in range(4)] == list(map(brute, texts))
+
+
+def test_sql_agrees(spark):
+    assert compare(quality.op4_quality(spark, SF), quality.OP4_SQL, SF) == 200

@@ -3,11 +3,12 @@
 Every string of LENGTH bytes has an anchor: the least hash of its ANCHOR-byte substrings.  Strings in a row with one
 anchor are a segment.  Equal strings have equal anchors, so an anchor that one segment has alone (and once) can't
 repeat, and segments of different anchors needn't meet: a segment is the unit that is sent, an anchor the key it is
-sent by, and no string is lost.  Segments that are left are collapsed where equal; those of one anchor are cut to
-what they can have in common and become rows of one transform: shards are built from a bounded number of bytes and
-merged by refining their interleave, and blocks of suffixes with a common prefix of LENGTH are the repeated strings.
-Anchors with more than HOT different segments are not held by one task: their strings are compared by 128-bit hashes
-of pieces and strings instead, all of them.
+sent by, and no string is lost.  Segments that are left are collapsed where equal, with the number of their copies as
+a weight; those of one anchor are cut to what they can have in common and become rows of one transform: shards are
+built from a bounded number of bytes and merged by refining their interleave, and blocks of suffixes with a common
+prefix of LENGTH and a total weight of two are the repeated strings, of all copies of a segment.
+Anchors with more than HOT different segments are not held by one task: their strings are compared by two 61-bit
+hashes of pieces and strings instead, all of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slabworks.llm import textkit as K
@@ -94,9 +95,7 @@ def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def anchor_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the ANCHOR bytes from each place."""
-    prefix = K.prefix_hash(data)
-    n = len(data) - ANCHOR + 1
-    return K.mix((prefix[ANCHOR:] - prefix[:n]) * K.powers(len(data))[1][:n])
+    return K.rolling(data, ANCHOR)
 
 
 def find_segments(docs: DataFrame) -> DataFrame:
@@ -200,35 +199,41 @@ def _reach(sides: list[bytes]) -> list[int]:
     return out
 
 
-def trimmed(contents: list[bytes], where: list[int]) -> list[tuple[int, bytes]]:
+def trimmed(contents: list[bytes], where: list[int], copies: list[int]) -> list[tuple[int, bytes]]:
     """(offset, rest) of the segments of one anchor: what can't be part of a string that another of them has is cut off.
 
     A common string has the anchor at the same place, so it reaches from there to either side no farther than the
     segment agrees with another one.  Segments that have their anchor at several places stay whole, as do all of
-    that anchor.
+    that anchor, and so do those with copies.
     """
     if min(where) < 0:
         return [(0, c) for c in contents]
     left = _reach([c[:a][::-1] for c, a in zip(contents, where)])
     right = _reach([c[a + ANCHOR :] for c, a in zip(contents, where)])
-    return [(a - x, c[a - x : a + ANCHOR + y]) for c, a, x, y in zip(contents, where, left, right)]
+    return [(0, c) if n > 1 else (a - x, c[a - x : a + ANCHOR + y]) for c, a, n, x, y in zip(contents, where, copies, left, right)]
 
 
 def repeats_of(rows: list[tuple]) -> list[tuple]:
-    """(key, a, b) of the repeated spans in rows (anchor, key, place, total, content) of whole anchors, sorted by anchor."""
+    """(key, place, a, b) of the repeated spans in rows (anchor, key, place, total, content) of whole anchors, sorted by anchor.
+
+    Spans count from the segment's first byte.
+    """
     held: list[tuple] = []
     for _, group in groupby(rows, key=lambda r: r[0]):
         own = list(group)
-        parts = trimmed([r[4] for r in own], [(r[2] & 1023) - 1 for r in own])
-        held += [(r[1], (r[2] >> 20) + o, r[3], c) for r, (o, c) in zip(own, parts) if len(c) >= LENGTH]
+        parts = trimmed([r[4] for r in own], [(r[2] & 1023) - 1 for r in own], [r[3] for r in own])
+        held += [(r[1], r[2], o, r[3], c) for r, (o, c) in zip(own, parts) if len(c) >= LENGTH]
     if not held:
         return []
-    hits = repeated_starts([h[3] for h in held], np.array([h[2] for h in held], dtype=float), LENGTH, SHARD)
-    return [(h[0], h[1] + a, h[1] + b) for h, hit in zip(held, hits) if h[2] < 2 for a, b in _spans(hit)]
+    hits = repeated_starts([h[4] for h in held], np.array([h[3] for h in held], dtype=float), LENGTH, SHARD)
+    return [(h[0], h[1], h[2] + a, h[2] + b) for h, hit in zip(held, hits) for a, b in _spans(hit)]
+
+
+SPANS = "key binary, place long, a long, b long"
 
 
 def merged_repeats(classes: DataFrame) -> DataFrame:
-    """(key, a, b): repeated spans in classes(anchor, key, place, total, content).
+    """(key, place, a, b): repeated spans in classes(anchor, key, place, total, content).
 
     Anchors are dealt into groups of about BLOCK bytes, which a task holds one at a time.
     """
@@ -238,10 +243,11 @@ def merged_repeats(classes: DataFrame) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("anchor", "ascending"), ("key", "ascending"), ("place", "ascending")])
         rows = repeats_of(list(zip(*(t.column(c).to_pylist() for c in ("anchor", "key", "place", "total", "content")))))
-        return pa.table({c: pa.array([r[i] for r in rows], k) for i, (c, k) in enumerate((("key", pa.binary()), ("a", pa.int64()), ("b", pa.int64())))})
+        kinds = (("key", pa.binary()), ("place", pa.int64()), ("a", pa.int64()), ("b", pa.int64()))
+        return pa.table({c: pa.array([r[i] for r in rows], k) for i, (c, k) in enumerate(kinds)})
 
     ship(classes.sparkSession)
-    return classes.select(group.alias("block"), "anchor", "key", "place", "total", "content").groupBy("block").applyInArrow(run, "key binary, a long, b long")
+    return classes.select(group.alias("block"), "anchor", "key", "place", "total", "content").groupBy("block").applyInArrow(run, SPANS)
 
 
 def pieces_of(content: bytes, anchor: int) -> list[tuple[int, int, int, int, int, int, list[int], list[int]]]:
@@ -260,42 +266,43 @@ def pieces_of(content: bytes, anchor: int) -> list[tuple[int, int, int, int, int
     count = np.diff(first, append=n)
     core = spot[first] - PIECE * step[first]
     halves = []
-    for salt in (0, 0x51):
-        prefix = K.prefix_hash(raw ^ np.uint8(salt))
-        span = lambda a, b: K.span_hash(prefix, a, b).view(np.int64).tolist()  # noqa: B023, E731
+    for base in (0, 1):
+        spans = K.Spans(raw, base)
+        span = lambda a, b: spans.of(a, b).view(np.int64).tolist()  # noqa: B023, E731
         halves.append((span(core, core + LENGTH - PIECE + 1), span(first, first + count - 1 + LENGTH), span(begin, begin + LENGTH)))
     (c0, p0, s0), (c1, p1, s1) = halves
     return [(a, k, c0[i], c1[i], p0[i], p1[i], s0[a : a + k], s1[a : a + k]) for i, (a, k) in enumerate(zip(first.tolist(), count.tolist()))]
 
 
 def hashed_repeats(classes: DataFrame) -> DataFrame:
-    """(key, a, b): repeated spans in the classes of hot anchors, by 128-bit hashes of their strings.
+    """(key, place, a, b): repeated spans in the classes of hot anchors, by two 61-bit hashes of their strings.
 
     A piece whose core occurs once has no repeated string.  Equal pieces are repeated as a whole; only the strings
-    of the others are looked at one by one.
+    of the others are looked at one by one.  A class with copies is repeated as a whole.
     """
-    kinds = "key binary, a long, n long, total long, c0 long, c1 long, p0 long, p1 long, s0 array<long>, s1 array<long>"
+    kinds = "key binary, place long, a long, n long, total long, c0 long, c1 long, p0 long, p1 long, s0 array<long>, s1 array<long>"
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                start = row["place"] >> 20
-                out += [(row["key"], start + a, n, row["total"], *rest) for a, n, *rest in pieces_of(row["content"], row["anchor"])]
-            types = [pa.binary(), *[pa.int64()] * 7, *[pa.list_(pa.int64())] * 2]
+                out += [(row["key"], row["place"], a, n, row["total"], *rest) for a, n, *rest in pieces_of(row["content"], row["anchor"])]
+            types = [pa.binary(), *[pa.int64()] * 8, *[pa.list_(pa.int64())] * 2]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
     pieces = written(arrow_map(classes.select("key", "anchor", "place", "total", "content"), run, kinds), "suffix-pieces")
     cores = pieces.groupBy("c0", "c1").agg(F.sum("total").alias("s")).where("s > 1").select("c0", "c1")
     alive = pieces.join(cores, ["c0", "c1"], "left_semi")
-    whole = written(alive.groupBy("p0", "p1").agg(F.sum("total").alias("sum"), F.min(F.struct("key", "a")).alias("at"), F.first("n").alias("n"), F.first("s0").alias("s0"), F.first("s1").alias("s1")), "suffix-pieces")
-    resolved = pieces.where("total < 2").select("key", "a", "n", "p0", "p1").join(whole.where("sum > 1").select("p0", "p1"), ["p0", "p1"], "left_semi")
-    strings = whole.select("sum", "at.key", "at.a", F.posexplode(F.arrays_zip("s0", "s1")).alias("i", "s")).select("sum", "key", (F.col("a") + F.col("i")).alias("a"), "s.s0", "s.s1")
+    of = F.struct("key", "place", "a")
+    whole = written(alive.groupBy("p0", "p1").agg(F.sum("total").alias("sum"), F.min(of).alias("at"), F.first("n").alias("n"), F.first("s0").alias("s0"), F.first("s1").alias("s1")), "suffix-pieces")
+    resolved = pieces.where("total < 2").select("key", "place", "a", "n", "p0", "p1").join(whole.where("sum > 1").select("p0", "p1"), ["p0", "p1"], "left_semi")
+    strings = whole.select("sum", "at.key", "at.place", "at.a", F.posexplode(F.arrays_zip("s0", "s1")).alias("i", "s")).select("sum", "key", "place", (F.col("a") + F.col("i")).alias("a"), "s.s0", "s.s1")
     again = strings.groupBy("s0", "s1").agg(F.sum("sum").alias("s")).where("s > 1").select("s0", "s1")
     single = strings.where("sum < 2").join(again, ["s0", "s1"], "left_semi")
-    spans = resolved.select("key", "a", (F.col("a") + F.col("n") - 1 + LENGTH).alias("b"))
-    return spans.union(single.select("key", "a", (F.col("a") + LENGTH).alias("b")))
+    copied = classes.where("total > 1").select("key", "place", F.lit(0).cast("long").alias("a"), F.octet_length("content").cast("long").alias("b"))
+    spans = resolved.select("key", "place", "a", (F.col("a") + F.col("n") - 1 + LENGTH).alias("b"))
+    return spans.union(single.select("key", "place", "a", (F.col("a") + LENGTH).alias("b"))).union(copied)
 
 
 def cut_texts(texts: DataFrame) -> DataFrame:
@@ -326,7 +333,7 @@ def cut_texts(texts: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_kept (the bytes that stay).
 
     Removed is each byte that a LENGTH-byte string covers which also starts anywhere else, in the same text or
     another; matches don't cross texts, overlaps count, and strings are judged on the input.  Repeated rows are
@@ -342,23 +349,32 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     per_text = written(segs.join(shared, "anchor").groupBy("key").agg(F.collect_set(F.struct("place", "anchor")).alias("segs")), "suffix-kept")
     dropped(segs)
     whole = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    texts = bucketed(whole.join(per_text, "key"), "key", "suffix_texts")  # joined by key twice more, without another shuffle
-    dropped(per_text)
-    names = written(name_segments(texts), "suffix-names")
+    with bucketed(whole.join(per_text, "key"), "key", "suffix_texts") as texts:  # joined by key twice more, without another shuffle
+        dropped(per_text)
+        spans = _repeated_spans(texts, several)
+        changed = written(cut_texts(texts.join(spans, "key")), "suffix-changed")
+    out = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "key", "sha").join(changed, "key", "left")
+    zero = F.lit(0).cast("long")
+    out = out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+    return out.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
+
+def _repeated_spans(texts: DataFrame, several: Column) -> DataFrame:
+    """(key, spans) from texts(key, text, copies, segs): repeated spans of each text, which may overlap."""
+    names = written(name_segments(texts), "suffix-names")
     totals = names.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("key", "place")).alias("at"), F.first("cores").alias("cores"))
     totals = written(totals.select("anchor", "name", "total", "at.key", "at.place", "cores"), "suffix-totals")
-    start, n = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(1023)
-    multiple = names.select("key", "place", "anchor", "name").join(totals.where("total > 1").select("anchor", "name"), ["anchor", "name"])
-    whole_spans = written(multiple.select("key", start.alias("a"), (start + n + LENGTH - 1).alias("b")), "suffix-whole")
+    classes_of = totals.where("total > 1").select("anchor", "name", F.col("key").alias("_key"), F.col("place").alias("_place"))
+    members = written(names.select("key", "place", "anchor", "name").join(classes_of, ["anchor", "name"]).select("key", "place", "_key", "_place"), "suffix-members")
     dropped(names)
 
-    # a segment goes on if another one of its anchor shares a core, or if its anchor stands at several places somewhere
+    # a segment goes on if it has copies, if another one of its anchor shares a core, or if its anchor stands at several places somewhere
     cores = totals.select("anchor", "key", "place", "total", F.explode("cores").alias("core"))
     met = cores.groupBy("anchor", "core").agg(F.count("*").alias("k"), F.count_if(F.col("total") < 2).alias("open")).where("k > 1 and open > 0").select("anchor", "core")
     alive = cores.join(met, ["anchor", "core"]).select("anchor", "key", "place", "total")
     loose = totals.groupBy("anchor").agg(F.bool_or(several).alias("t"), F.count_if(F.col("total") < 2).alias("open")).where("t and open > 0").select("anchor")
-    chosen = written(alive.union(totals.join(loose, "anchor").select("anchor", "key", "place", "total")).distinct(), "suffix-chosen")
+    copied = totals.where("total > 1").select("anchor", "key", "place", "total")
+    chosen = written(alive.union(totals.join(loose, "anchor").select("anchor", "key", "place", "total")).union(copied).distinct(), "suffix-chosen")
     dropped(totals)
     sizes = chosen.groupBy("anchor").agg(F.count("*").alias("m"))
     per_text = chosen.join(sizes, "anchor").groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "total", "m")).alias("chosen"))
@@ -368,16 +384,34 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hashed = written(hashed_repeats(classes.where(F.col("m") > HOT)), "suffix-hashed")
     dropped(classes)
 
-    spans = whole_spans.union(merged).union(hashed).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    changed = cut_texts(texts.join(spans, "key"))
-    out = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "key", "sha").join(changed, "key", "left")
-    zero = F.lit(0).cast("long")
-    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+    found = merged.union(hashed)
+    first = F.shiftright("place", 20)
+    own = found.select("key", (first + F.col("a")).alias("a"), (first + F.col("b")).alias("b"))
+    of_class = found.select(F.col("key").alias("_key"), F.col("place").alias("_place"), "a", "b")
+    of_copies = members.join(of_class, ["_key", "_place"]).select("key", (first + F.col("a")).alias("a"), (first + F.col("b")).alias("b"))
+    return own.union(of_copies).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+#: Every string by its digest: brute force, for small tables.
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+w AS (SELECT r, i, md5(raw[i : i + 399]) AS h FROM (SELECT r, raw, unnest(generate_series(1, octet_length(raw) - 399)) AS i FROM d)),
+twice AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT r, i FROM w SEMI JOIN twice USING (h)),
+edges AS (SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 1 ELSE 0 END AS opens FROM hit),
+runs AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS k FROM edges),
+spans AS (SELECT r, k, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY r, k),
+ends AS (SELECT r, a, b FROM spans UNION ALL SELECT r, octet_length(raw) + 1, octet_length(raw) + 1 FROM d),
+pieces AS (SELECT r, a, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a, b), 1) AS first, a - 1 AS last FROM ends),
+kept AS (SELECT r, string_agg(CASE WHEN last >= first THEN hex(raw[first : last]) ELSE '' END, '' ORDER BY a) AS h, sum(greatest(last - first + 1, 0)) AS n_kept FROM pieces JOIN d USING (r) GROUP BY r),
+counts AS (SELECT r, count(*) AS n FROM spans GROUP BY r)
+SELECT doc_id, octet_length(raw) AS n_bytes, CAST(octet_length(raw) - n_kept AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(h)) AS kept_sha256, CAST(n_kept AS BIGINT) AS n_kept
+FROM d JOIN kept USING (r) LEFT JOIN counts USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_suffix_dedup": op3_suffix_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_suffix_dedup": OP3_SQL}

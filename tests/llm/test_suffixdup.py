@@ -7,6 +7,8 @@ import pytest
 from slabworks.llm import suffixdup
 from slabworks.llm.textkit import utf8
 from tests.conftest import SF
+from tests.llm.collisions import thue_morse
+from tests.llm.oracle import compare
 
 import pyarrow as pa
 
@@ -68,6 +70,24 @@ def test_odd_rows(spark):
     assert suffixdup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("hot", [200, 0])
+def test_texts_that_collide_modulo_a_power_of_two(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixdup, "HOT", hot)
+    x, y = thue_morse()
+    check(spark, list(enumerate([x, y, "q" + x[:700], y[300:] + x[:200], x])))
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(9)
+    block = "".join(rng.choices("abcdefghijklmnop ", k=30_000))
+    long_ = "".join("".join(rng.choices("abcdefghijklmnop ", k=rng.randint(1, 90_000))) + block[rng.randint(0, 25_000) :] for _ in range(40))
+    check(spark, [(1, long_), (2, block), (3, "short")])
+
+
+def test_sql_agrees(spark):
+    assert compare(suffixdup.op3_suffix_dedup(spark, SF), suffixdup.OP3_SQL, SF) == 200
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixdup.op3_suffix_dedup(spark, SF).collect()}

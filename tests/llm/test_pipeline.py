@@ -54,6 +54,19 @@ def test_odd_rows(spark, tmp_path):
     text = "the cat sat on the mat and then it went to sleep for a while"
     rows = [(1, text, "en", "s", 9, "x"), (1, text, "en", "s", 9, "x"), (None, text + " again and again", None, None, None, None), (None, None, None, None, None, None), (4, "", "en", "s", 0, "x"), (5, "1 2 3", None, "s", 1, "x"), (6, "token = 0123456789abcdef0123 " + "der hund " * 50000, "de", None, 1, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_tokens string")
+    kept, now = {}, docs
     for name, stage in corpus_pipeline.STAGES:
-        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
-        stage(spark, docs.limit(0), SF).count()
+        out = stage(spark, now, SF)
+        out.write.parquet(f"{tmp_path}/{name}")
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        back = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = sorted(str(r.doc_id) for r in back.collect())
+        if name != "encode":
+            assert back.columns == docs.columns
+        now = back
+    net = langid.train(docs)
+    told = sorted(str(r.doc_id) for r in langid.identify(docs, net).where(f"lang_pred <> 'und' and score >= {langid.LEAST_SCORE}").collect())
+    assert kept["language_id"] == told and "4" not in told  # texts without a letter go
+    assert kept["near_dedup"] == kept["decontamination"] == kept["secret_scan"] == kept["encode"] == sorted(str(i) for i in (1, None, 6))  # one row of the repeated ones
+    scanned = {r.doc_id: r.text for r in spark.read.parquet(f"{tmp_path}/secret_scan").collect()}
+    assert scanned[6].startswith("[SECRET]") and scanned[1] == text

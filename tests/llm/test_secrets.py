@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -63,6 +64,35 @@ def test_ownership_and_redaction(spark):
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
+    wide, few = "Zx81" * 8, "Qp72" * 8
+    rows = [(i, f"text {i} has {wide} in it", "one") for i in range(secrets.EXAMPLE_REPOSITORIES)]
+    rows += [(100 + i, f"a copy of {few}", "one") for i in range(secrets.EXAMPLE_REPOSITORIES)]  # equal texts are one repository
+    got = {r.doc_id: len(r.found) for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {got[i] for i in range(secrets.EXAMPLE_REPOSITORIES)} == {0} and {got[i] for i in got if i >= 100} == {1}
+
+
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(4)
+    parts = [rng.choice(["token={}", "AKIA{}", "{}", "é {} "]).format("".join(rng.choices("0123456789abcdefXYZ", k=rng.randint(8, 40)))) for _ in range(8000)]
+    text = " ".join(parts)
+    docs = spark.createDataFrame([(1, text, "s"), (2, None, None)], "doc_id long, text string, source string")
+    found = secrets.find_secrets(docs)
+    rows = {r.doc_id: r for r in found.collect()}
+    assert [(s.start, s.kind, s.end) for s in rows[1].base] == brute(text) and not rows[2].found
+    base = brute(text)
+    extra = {(m.start(), 3, m.end()) for m in re.finditer(secrets.OPAQUE, text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])}
+    extra = {g for g in extra if not any(b[0] < g[2] and g[0] < b[2] for b in base)}
+    assert {(s.start, s.kind, s.end) for s in rows[1].found if s.kind == 3} == extra and extra
+    want, at = [], 0
+    for start, _, end in sorted(base + list(extra)):
+        if start >= at:
+            want.append(text[at:start] + "[SECRET]")
+        at = max(at, end)
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, found).collect()}
+    assert clean == {1: "".join(want) + text[at:], 2: None}
+
+
 def test_empty_digest(spark):
     r = secrets.op7_secrets(spark, SF).where("spans = ''").first()
     assert r.base_sha256 == hashlib.sha256(b"").hexdigest() and r.n_hex == 0

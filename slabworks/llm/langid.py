@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +27,8 @@ UNDETERMINED = "und"
 WINDOW = 256
 #: Windows that go through the network at once.
 BATCH = 512
-#: Labelled documents that training may use at most, and windows from each.
-SAMPLE_ROWS = 4000
-SAMPLE_WINDOWS = 3
+#: Labelled documents that training may use at most, shared evenly among the languages; all of their windows are used.
+SAMPLE_ROWS = 1200
 #: Score below which the pipeline rejects a document; an even guess among four languages has 0.25.
 LEAST_SCORE = 0.35
 
@@ -39,7 +38,7 @@ class Shape:
     embedding: int = 8
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 20
-    epochs: int = 8
+    epochs: int = 7
     step: float = 0.004
     seed: int = 7
 
@@ -155,31 +154,44 @@ def is_held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, rows: int = SAMPLE_ROWS, shape: Shape = Shape()) -> ByteNet | None:
-    """A network trained on at most ``rows`` labelled documents that aren't held out, the first by a hash of doc_id.
+def sample(docs: DataFrame, rows: int) -> list[tuple[str, str]]:
+    """(lang, text) of at most ``rows`` labelled documents that aren't held out, as many of each language as there are.
 
-    Only text and non-null lang are learned from; rows with a null doc_id, text or lang are not used.  None if
-    there is no such row.  Of the chosen documents SAMPLE_WINDOWS windows each are brought to the driver.
+    Within a language documents come in the order of a hash of doc_id.  A first pass counts the languages; a hash
+    threshold made from the counts thins each of them to a few times its share before anything is sorted, so that
+    no task sees a language as a whole.  With more languages than ``rows`` the most frequent ones are taken.
     """
     fit = docs.where(docs.doc_id.isNotNull() & docs.lang.isNotNull() & docs.text.isNotNull() & ~is_held_out(docs.doc_id))
-    chosen = fit.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
-    if not chosen:
-        return None
-    ids = docs.sparkSession.createDataFrame(chosen, T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]))
-    raw = F.col("text").cast("binary")
-    size = F.octet_length("text")
-    pieces = F.array(*[F.substring(raw, 1 + F.floor(F.greatest(size - WINDOW, F.lit(0)) * (i / max(SAMPLE_WINDOWS - 1, 1))).cast("int"), F.lit(WINDOW + 8)) for i in range(SAMPLE_WINDOWS)])
-    # at most ``rows`` ids of fixed size: a broadcast that doesn't grow with the data
-    got = fit.join(F.broadcast(ids), "doc_id").select("doc_id", "lang", pieces.alias("pieces")).groupBy("doc_id").agg(F.min(F.struct("lang", "pieces")).alias("v")).orderBy("doc_id").collect()
-    languages = sorted({r.v.lang for r in got})
-    net = ByteNet(languages, shape)
-    x, y = [], []
-    for r in got:
-        for piece in dict.fromkeys(map(bytes, r.v.pieces)):
-            if piece:
-                x.append(np.frombuffer(piece[: net.reach].ljust(net.reach, b"\0"), np.uint8))
-                y.append(languages.index(r.v.lang))
-    return net.train(np.stack(x), np.array(y)) if x else None
+    counts = fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rows).collect()
+    if not counts:
+        return []
+    quota = max(1, rows // len(counts))
+    spark = docs.sparkSession
+    wide = 1 << 30
+    limits = spark.createDataFrame([(r.lang, min(wide, int(wide * (2 * quota + 40) / r.n))) for r in counts], "lang string, least long")
+    rank = F.xxhash64("doc_id")
+    near = fit.select("doc_id", "lang").join(F.broadcast(limits), "lang").where(F.pmod(rank, F.lit(wide)) < F.col("least")).distinct()  # ``rows`` limits at most
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(rank, F.lit(wide)), "doc_id"))
+    chosen = near.withColumn("nth", nth).where(F.col("nth") <= quota).select("doc_id", "lang").collect()
+    ids = spark.createDataFrame(chosen, T.StructType([docs.schema["doc_id"], docs.schema["lang"]]))
+    # at most ``rows`` ids: a broadcast that doesn't grow with the data
+    got = fit.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy("doc_id", "lang").collect()
+    return [(r.lang, r.text) for r in got]
+
+
+def train(docs: DataFrame, rows: int = SAMPLE_ROWS, shape: Shape = Shape()) -> ByteNet | None:
+    """A network trained on all windows of a sample of at most ``rows`` labelled documents that aren't held out.
+
+    Only text and non-null lang are learned from; rows with a null doc_id, text or lang are not used, of rows with
+    one doc_id and lang one text is.  Empty texts have no window.  None if there is no window to learn from.
+    """
+    got = sample(docs, rows)
+    net = ByteNet(sorted({lang for lang, _ in got}), shape)
+    texts = [text.encode() for _, text in got]
+    at = np.cumsum([0, *map(len, texts)])
+    x, doc, _ = windows(np.frombuffer(b"".join(texts), np.uint8), at, net.reach)
+    y = np.array([net.languages.index(lang) for lang, _ in got], dtype=np.int64)[doc]
+    return net.train(x, y) if len(x) else None
 
 
 def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -1,9 +1,11 @@
+import hashlib
 import random
 
 import pytest
 import tiktoken
 
 from slabworks.llm import bpe
+from tests.conftest import SF
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +57,14 @@ def test_frames(spark):
     assert [r.n_tokens for r in out if r.doc_id in (None, 2)] == [0, 0]
     assert len({(r.n_tokens, r.ids_sha256) for r in out if r.doc_id == 1}) == 1
     assert bpe.encode_documents(df.limit(0), path, pattern).count() == 0
+
+
+def test_the_query_equals_the_public_library(spark, pair):
+    _, public = pair
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = public.encode_ordinary(r.text or "")
+        digest = lambda raw: hashlib.sha256(raw).hexdigest()
+        want[r.doc_id] = (len(ids), digest(",".join(map(str, ids)).encode()), digest(public.decode_bytes(ids)))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op10_bpe_roundtrip(spark, SF).collect()}
+    assert got == want

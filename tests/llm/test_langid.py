@@ -50,3 +50,46 @@ def test_odd_rows(spark):
     assert langid.train(docs.limit(0)) is None
     assert langid.identify(docs.limit(0), None).count() == 0
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
+
+
+def naive(net, text):
+    """Mean probabilities of a text, filter by filter and byte by byte."""
+    raw = text.encode()
+    total = np.zeros(len(net.languages))
+    for start in range(0, len(raw), langid.WINDOW):
+        own = [net.w["embed"][b] for b in raw[start : start + net.reach]]
+        own += [np.zeros(net.shape.embedding)] * (net.reach - len(own))
+        hidden = []
+        for k in net.shape.widths:
+            for f in range(net.shape.filters):
+                w = net.w[f"conv{k}"][:, f].reshape(k, -1)
+                answers = [sum(float(own[i + j] @ w[j]) for j in range(k)) for i in range(langid.WINDOW)]
+                hidden.append(max(0.0, max(answers) + float(net.w[f"bias{k}"][f])))
+        z = np.array(hidden) @ net.w["dense"] + net.w["out"]
+        z = np.exp(z - z.max())
+        total += z / z.sum() * len(raw[start : start + langid.WINDOW])
+    return total / len(raw)
+
+
+def test_the_query_equals_a_naive_network(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    net = langid.train(docs)
+    texts = {r.doc_id: r.text for r in docs.collect() if r.text and 0 < len(r.text) < 900}
+    got = {r.doc_id: r for r in langid.op1_language_id(spark, SF).collect()}
+    assert len(got) == docs.count()
+    compared = 0
+    for i in sorted(texts)[:12]:
+        if got[i].lang_pred != "und":
+            p = naive(net, texts[i])
+            assert net.languages[int(p.argmax())] == got[i].lang_pred and abs(p.max() - got[i].score) < 1e-4
+            compared += 1
+    assert compared > 5
+
+
+def test_rare_languages_are_sampled(spark):
+    rows = [(i, f"{lang} text {i}", lang) for i, lang in enumerate(["aa"] * 3000 + ["bb"] * 7 + ["cc"] * 400)]
+    docs = spark.createDataFrame([*rows, (None, "x", "aa"), (-1, None, "dd"), (-2, "y", None)], "doc_id long, text string, lang string")
+    got = [lang for lang, _ in langid.sample(docs, 300)]
+    learnable = docs.where(~langid.is_held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()).groupBy("lang").count().collect()
+    n = {r.lang: r["count"] for r in learnable}
+    assert {k: got.count(k) for k in set(got)} == {k: min(v, 100) for k, v in n.items()}

@@ -46,16 +46,25 @@ def _sides(window: int) -> tuple[Window, Window]:
     return w.rowsBetween(-half, -1), w.rowsBetween(1, half)
 
 
-def local_expected(rows: DataFrame, window: int) -> DataFrame:
-    """Adds expected, two_sided and disagreement from the neighbours of each slice, never from the slice itself.
+def neighbours(rows: DataFrame, windows: tuple[int, ...], value: str = "value") -> DataFrame:
+    """A row for each window: adds window, and l and r, the (pos, value) of present neighbours on either side.
+
+    All frames have one order, so a single pass over each series serves all windows.
+    """
+    pair = F.when(F.col(value).isNotNull(), F.struct("pos", F.col(value).alias("value")))
+    sides = [(w, *_sides(w)) for w in windows]
+    near = F.array(*[F.struct(F.lit(w).alias("window"), F.collect_list(pair).over(left).alias("l"), F.collect_list(pair).over(right).alias("r")) for w, left, right in sides])
+    out = positioned(rows).withColumn("near", near)
+    return out.select("*", F.explode("near").alias("_n")).select(*out.columns, "_n.*").drop("near")
+
+
+def expectations(rows: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """Adds window, expected, two_sided and disagreement from the neighbours of each slice, never from the slice itself.
 
     With neighbours on both sides: the median of pairwise slopes and the median intercept, evaluated at the slice;
     on one side: their median; none: NULL.
     """
-    left, right = _sides(window)
-    pair = F.when(F.col("value").isNotNull(), F.struct("pos", "value"))
-    near = positioned(rows).withColumn("l", F.collect_list(pair).over(left)).withColumn("r", F.collect_list(pair).over(right))
-    near = near.withColumn("n", F.concat("l", "r"))
+    near = neighbours(rows, windows).withColumn("n", F.concat("l", "r"))
     slopes = F.flatten(F.transform("n", lambda a: F.transform(F.filter("n", lambda b: b.pos > a.pos), lambda b: (b.value - a.value) / (b.pos - a.pos))))
     near = near.withColumn("slope", array_median(slopes))
     intercept = array_median(F.transform("n", lambda a: a.value - F.col("slope") * a.pos))
@@ -65,41 +74,54 @@ def local_expected(rows: DataFrame, window: int) -> DataFrame:
     return out.withColumn("disagreement", F.when(two, F.abs(lm - rm))).drop("l", "r", "n", "slope")
 
 
-def robust_scales(rows: DataFrame, value: str, name: str) -> DataFrame:
-    """(dataset_id, metric, <name>_center, <name>): median, and MAD x 1.4826, else the deviation, else 1."""
-    center = rows.groupBy(*SERIES).agg(F.percentile(value, F.lit(0.5)).alias(f"{name}_center"), F.stddev_pop(value).alias("sd"))
-    off = rows.select(*SERIES, value).join(center, list(SERIES)).groupBy(*SERIES).agg(F.first(f"{name}_center").alias(f"{name}_center"), F.first("sd").alias("sd"), F.percentile(F.abs(F.col(value) - F.col(f"{name}_center")), F.lit(0.5)).alias("m"))
-    mad = F.col("m") * MAD_SCALE
-    scale = F.when(mad > EPS, mad).when(F.col("sd") > EPS, F.col("sd")).otherwise(lit(1.0))
-    return off.select(*SERIES, F.coalesce(f"{name}_center", lit(0.0)).alias(f"{name}_center"), scale.alias(name))
+def local_expected(rows: DataFrame, window: int) -> DataFrame:
+    """``expectations`` under one window."""
+    return expectations(rows, (window,)).drop("window")
+
+
+def _with_scale(rows: DataFrame, value: str, center: str, scale: str) -> DataFrame:
+    """Adds the median of a value over its series and window, and MAD x 1.4826, else the deviation, else 1."""
+    w = Window.partitionBy(*SERIES, "window")
+    out = rows.withColumn(center, F.percentile(value, F.lit(0.5)).over(w)).withColumn("_sd", F.stddev_pop(value).over(w))
+    mad = F.percentile(F.abs(F.col(value) - F.col(center)), F.lit(0.5)).over(w) * MAD_SCALE
+    out = out.withColumn("_mad", mad)
+    return out.withColumn(scale, F.when(F.col("_mad") > EPS, F.col("_mad")).when(F.col("_sd") > EPS, F.col("_sd")).otherwise(lit(1.0))).withColumn(center, F.coalesce(center, lit(0.0))).drop("_sd", "_mad")
+
 
+def anomalies(rows: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """Scores rows that carry their rule (low boolean, mild, severe) under each window.
 
-def metric_anomaly(rows: DataFrame, window: int, low: bool, mild: Column | float, severe: Column | float) -> DataFrame:
-    """Adds expected, two_sided, disagreement and score, 0 to 1; 0 where the value or its expectation is missing."""
-    mild, severe = (x if isinstance(x, Column) else lit(x) for x in (mild, severe))
-    near = local_expected(rows, window)
-    residual = F.col("expected") - F.col("value") if low else F.col("value") - F.col("expected")
-    near = near.withColumn("residual", residual)
-    near = near.join(robust_scales(near, "residual", "rs"), list(SERIES)).join(robust_scales(near, "value", "gs").drop("gs_center"), list(SERIES))
+    Adds window, expected, two_sided, disagreement and score, 0 to 1; 0 where the value or its expectation is missing.
+    """
+    near = expectations(rows, windows)
+    near = near.withColumn("residual", F.when(F.col("low"), F.col("expected") - F.col("value")).otherwise(F.col("value") - F.col("expected")))
+    near = _with_scale(_with_scale(near, "residual", "rs_center", "rs"), "value", "gs_center", "gs")
     z = F.greatest(over(F.col("residual") - F.col("rs_center"), F.col("rs")), lit(0))
-    magnitude = F.greatest(over(F.col("residual"), F.abs("expected")) if low else F.col("residual"), lit(0))
-    ratio = clip(over(magnitude - mild, severe - mild), 0, 1)
-    steep = clip((z - 1.5) / 3.0, 0, 1)
-    if not low:
-        steep = steep * clip(over(magnitude, mild), 0, 1)
+    magnitude = F.greatest(F.when(F.col("low"), over(F.col("residual"), F.abs("expected"))).otherwise(F.col("residual")), lit(0))
+    ratio = clip(over(magnitude - F.col("mild"), F.col("severe") - F.col("mild")), 0, 1)
+    steep = clip((z - 1.5) / 3.0, 0, 1) * F.when(F.col("low"), lit(1)).otherwise(clip(over(magnitude, F.col("mild")), 0, 1))
     calm = clip(F.exp(-over(F.coalesce("disagreement", lit(0)), F.col("gs") * 2.5)), 0.35, 1)
     score = F.greatest(ratio, steep) * F.when(F.col("two_sided"), lit(1.0)).otherwise(lit(0.72)) * calm
     valid = F.col("value").isNotNull() & F.col("expected").isNotNull()
-    return near.withColumn("score", F.when(valid, score).otherwise(lit(0))).drop("residual", "rs", "rs_center", "gs")
+    return near.withColumn("score", F.when(valid, score).otherwise(lit(0))).drop("residual", "rs", "rs_center", "gs", "gs_center")
+
+
+def metric_anomaly(rows: DataFrame, window: int, low: bool, mild: float, severe: float) -> DataFrame:
+    """``anomalies`` of rows that share one rule, under one window."""
+    return anomalies(rows.withColumns({"low": F.lit(low), "mild": lit(mild), "severe": lit(severe)}), (window,)).drop("low", "mild", "severe", "window")
+
+
+def losses(rows: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """Adds window, reference and loss: the deficit against the lower of both sides' medians of positive neighbours."""
+    positive = lambda side: array_median(F.transform(F.filter(side, lambda x: x.value > 0), lambda x: x.value))
+    out = neighbours(rows, windows)
+    out = out.withColumn("reference", F.when(F.col("value") >= 0, both_min(positive("l"), positive("r"))))
+    return out.withColumn("loss", clip(1 - over(F.col("value"), F.col("reference")), 0, 1)).drop("l", "r", "pos")
 
 
 def bilateral_loss(rows: DataFrame, window: int) -> DataFrame:
-    """Adds reference and loss: the deficit against the lower of both sides' medians of positive neighbours."""
-    left, right = _sides(window)
-    positive = F.when(F.col("value") > 0, F.col("value"))
-    out = rows.withColumn("lm", F.percentile(positive, F.lit(0.5)).over(left)).withColumn("rm", F.percentile(positive, F.lit(0.5)).over(right))
-    out = out.withColumn("reference", F.when(F.col("value") >= 0, both_min(F.col("lm"), F.col("rm"))))
-    return out.withColumn("loss", clip(1 - over(F.col("value"), F.col("reference")), 0, 1)).drop("lm", "rm")
+    """``losses`` under one window."""
+    return losses(rows, (window,)).drop("window")
 
 
 def smooth_taper(slices: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -113,51 +135,64 @@ def smooth_taper(slices: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return slices.withColumn("smooth_taper", F.coalesce(ok, F.lit(False)))
 
 
-def profile_divergence(profile: DataFrame, window: int, order: str = "slice_index") -> DataFrame:
-    """One row a slice: divergence from its neighbours' mean profile (1 - cosine), and the cosine of both sides' means.
+def _framed(w: Window, windows: tuple[int, ...], make) -> Column:
+    """An array of (window, what ``make`` gives for the frames left and right of the slice)."""
+    parts = []
+    for k in windows:
+        half = max(k // 2, 1)
+        parts.append(F.struct(F.lit(k).alias("window"), *make(w.rowsBetween(-half, -1), w.rowsBetween(1, half))))
+    return F.array(*parts)
+
 
-    profile(slice, gene, value) is long; neighbours are joined by place, which the number of slices bounds.
+def profile_divergences(profile: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """A row a slice and window: divergence from the neighbours' mean profile (1 - cosine), and similarity of both sides' means.
+
+    profile(dataset_id, slice_index, gene, value) is long and is filled up with zeros for the genes that a slice of
+    its dataset lacks; slices are neighbours by place in their dataset.
     """
-    half = max(window // 2, 1)
-    places = profile.select(order).distinct().withColumn("p", F.row_number().over(Window.orderBy(order)))
-    own = profile.join(F.broadcast(places), order)
-    side = F.when(F.col("q") < F.col("p"), "l").otherwise("r")
-    reach = places.select(F.col("p"), F.explode(F.sequence(F.col("p") - half, F.col("p") + half)).alias("q")).where("p <> q")
-    known = places.select(F.col("p").alias("q"))
-    reach = reach.join(known, "q")
-    counts = reach.groupBy("p").agg(F.count_if(side == "l").alias("nl"), F.count_if(side == "r").alias("nr"))
-    other = own.select(F.col("p").alias("q"), "gene", F.col("value").alias("ov"))
-    sums = reach.join(other, "q").groupBy("p", "gene").agg(F.sum("ov").alias("s"), F.sum(F.when(side == "l", F.col("ov"))).alias("sl"), F.sum(F.when(side == "r", F.col("ov"))).alias("sr"))
-    both = own.select("p", "gene", "value").join(sums, ["p", "gene"], "full_outer").groupBy("p").agg(
-        F.sum(F.col("value") * F.col("s")).alias("dot"), F.sum(F.col("value") * F.col("value")).alias("vv"), F.sum(F.col("s") * F.col("s")).alias("ss"),
-        F.sum(F.col("sl") * F.col("sr")).alias("lr"), F.sum(F.col("sl") * F.col("sl")).alias("ll"), F.sum(F.col("sr") * F.col("sr")).alias("rr"),
-    )
-    cosine = lambda d, a, b: over(F.coalesce(d, lit(0)), F.sqrt(a) * F.sqrt(b))
-    out = both.join(counts, "p", "left").join(places, "p")
-    return out.select(order, F.when(F.col("nl") + F.col("nr") > 0, 1 - cosine(F.col("dot"), F.col("vv"), F.col("ss"))).alias("divergence"), F.when((F.col("nl") > 0) & (F.col("nr") > 0), cosine(F.col("lr"), F.col("ll"), F.col("rr"))).alias("similarity"))
+    keys = ["dataset_id", "slice_index"]
+    genes = profile.select("dataset_id", "gene").distinct()
+    dense = profile.select(*keys).distinct().join(genes, "dataset_id").join(profile, [*keys, "gene"], "left").withColumn("value", F.coalesce(F.col("value").cast("double"), lit(0)))
+    w = Window.partitionBy("dataset_id", "gene").orderBy("slice_index")
+    sums = _framed(w, windows, lambda left, right: (F.sum("value").over(left).alias("sl"), F.sum("value").over(right).alias("sr")))
+    each = dense.withColumn("_f", sums).select(*keys, "value", F.explode("_f").alias("f")).select(*keys, "value", "f.window", "f.sl", "f.sr")
+    each = each.withColumn("s", F.when(F.col("sl").isNotNull() | F.col("sr").isNotNull(), F.coalesce("sl", lit(0)) + F.coalesce("sr", lit(0))))
+    dot = lambda a, b: F.sum(F.col(a) * F.col(b))
+    both = each.groupBy(*keys, "window").agg(*[dot(a, b).alias(name) for name, a, b in (("vs", "value", "s"), ("vv", "value", "value"), ("ss", "s", "s"), ("lr", "sl", "sr"), ("ll", "sl", "sl"), ("rr", "sr", "sr"))])
+    cosine = lambda d, a, b: over(F.col(d), F.sqrt(a) * F.sqrt(b))
+    return both.select(*keys, "window", (1 - cosine("vs", "vv", "ss")).alias("divergence"), cosine("lr", "ll", "rr").alias("similarity"))
 
 
-def composition_divergence(counts: DataFrame, window: int) -> DataFrame:
-    """Jensen-Shannon divergence (base 2) of each slice's label shares from its neighbours' mean shares.
+def profile_divergence(profile: DataFrame, window: int) -> DataFrame:
+    """``profile_divergences`` under one window."""
+    return profile_divergences(profile, (window,)).drop("window")
+
+
+def composition_divergences(counts: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """A row a slice and window: Jensen-Shannon divergence (base 2) of its label shares from the neighbours' mean shares.
 
     counts(dataset_id, slice_index, label, n).
     """
-    half = max(window // 2, 1)
+    keys = ["dataset_id", "slice_index"]
     labels = counts.select("dataset_id", "label").distinct()
-    slices = counts.groupBy("dataset_id", "slice_index").agg(F.sum("n").alias("total"))
-    dense = slices.join(labels, "dataset_id").join(counts, ["dataset_id", "slice_index", "label"], "left")
+    slices = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
+    dense = slices.join(labels, "dataset_id").join(counts, [*keys, "label"], "left")
     dense = dense.withColumn("p", F.coalesce(F.col("n"), F.lit(0)) / F.col("total"))
     w = Window.partitionBy("dataset_id", "label").orderBy("slice_index")
-    left, right = w.rowsBetween(-half, -1), w.rowsBetween(1, half)
-    total = F.coalesce(F.sum("p").over(left), lit(0)) + F.coalesce(F.sum("p").over(right), lit(0))
-    n = F.count("p").over(left) + F.count("p").over(right)
-    dense = dense.withColumn("q", F.when(n > 0, total / n))
-    kinds = Window.partitionBy("dataset_id", "slice_index")
+    both = lambda left, right: ((F.coalesce(F.sum("p").over(left), lit(0)) + F.coalesce(F.sum("p").over(right), lit(0))).alias("s"), (F.count("p").over(left) + F.count("p").over(right)).alias("k"))
+    dense = dense.withColumn("_f", _framed(w, windows, both)).select(*keys, "p", F.explode("_f").alias("f"))
+    dense = dense.select(*keys, "p", "f.window", F.when(F.col("f.k") > 0, F.col("f.s") / F.col("f.k")).alias("q"))
+    kinds = Window.partitionBy(*keys, "window")
     share = lambda c: (F.col(c) + EPS) / F.sum(F.col(c) + EPS).over(kinds)
     dense = dense.withColumn("a", share("p")).withColumn("b", share("q"))
     m = (F.col("a") + F.col("b")) / 2
     half_of = lambda c: F.sum(F.col(c) * F.log2(F.col(c) / m))
-    return dense.groupBy("dataset_id", "slice_index").agg((0.5 * half_of("a") + 0.5 * half_of("b")).alias("js"))
+    return dense.groupBy(*keys, "window").agg((0.5 * half_of("a") + 0.5 * half_of("b")).alias("js"))
+
+
+def composition_divergence(counts: DataFrame, window: int) -> DataFrame:
+    """``composition_divergences`` under one window."""
+    return composition_divergences(counts, (window,)).drop("window")
 
 
 def robust_threshold(edges: DataFrame, value: str, by: list[str], ratio: float, k: float) -> DataFrame:

@@ -528,7 +528,7 @@ def smooth_taper(spark, sf_dir):
     "slice_genes",
 )
 def profile_divergence(spark, sf_dir):
-    d = W.profile_divergence(X.slice_genes(spark, sf_dir), 5)
+    d = W.profile_divergence(X.slice_genes(spark, sf_dir).withColumn("dataset_id", F.lit("li")), 5)
     return d.select("slice_index", r6("divergence").alias("divergence"), r6("similarity").alias("similarity"))
 
 
@@ -686,12 +686,13 @@ def slice_geometry(spark, sf_dir):
 
 @query("quality_scores")
 def quality_scores(spark, sf_dir):
-    return quality.score_series(quality.series_metrics(spark, sf_dir))
+    scored = quality.score_windows(quality.series_metrics(spark, sf_dir), (5,), quality.series_continuity(spark, sf_dir, (5,)))
+    return scored.drop("window")
 
 
 @query("quality_policy")
 def quality_policy(spark, sf_dir):
-    return quality.policy(quality.series_metrics(spark, sf_dir))
+    return quality.policy(quality.series_metrics(spark, sf_dir), quality.series_continuity(spark, sf_dir))
 
 
 @query("expression_pca")
@@ -706,7 +707,8 @@ def expression_pca(spark, sf_dir):
 
 @query("quality_window_evidence")
 def quality_window_evidence(spark, sf_dir):
-    return V.tier_verdict(quality.evidence(quality.series_metrics(spark, sf_dir)), 0.129, 2, 0.65)
+    scored = quality.score_windows(quality.series_metrics(spark, sf_dir), continuity=quality.series_continuity(spark, sf_dir))
+    return V.tier_verdict(quality.window_evidence(scored), 0.129, 2, 0.65)
 
 
 @query("series_registration")

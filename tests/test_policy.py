@@ -1,7 +1,12 @@
+import random
+from functools import reduce
+
+import pytest
 from pyspark.sql import functions as F
 
-from slabworks.operators.review import window_evidence
 from slabworks.plans import quality
+from tests.conftest import SF
+from tests.quality_brute import score
 
 LOW = {"density": 0.7, "expression": 0.5, "damage": 0.0, "continuity": 0.0}
 CALM = {"density": 0.2, "expression": 0.1, "damage": 0.0, "continuity": 0.0}
@@ -51,14 +56,99 @@ def brute(views):
 
 
 def test_policy_asks_all_windows(spark):
-    scored = [(w, spark.createDataFrame([{"dataset_id": "d", "slice_index": i, **views[at]} for i, views in enumerate(SLICES.values())])) for at, w in enumerate((3, 5, 7))]
-    got = {r.slice_index: r.call for r in quality.two_stage_policy(scored[1][1], window_evidence(scored)).collect()}
+    frames = [spark.createDataFrame([{"dataset_id": "d", "slice_index": i, "window": w, **views[at]} for i, views in enumerate(SLICES.values())]) for at, w in enumerate((3, 5, 7))]
+    scored = reduce(lambda a, b: a.unionByName(b), frames)
+    calls = quality.two_stage_policy(scored.where("window = 5"), quality.window_evidence(scored))
+    got = {r.slice_index: r.call for r in calls.collect()}
+    total = quality.call_summary(calls).first()
+    assert total.slices == len(SLICES) and total.excluded == quality.withheld(calls).count() == total.by_score + total.by_tier + total.by_loss
     assert {name: got[i] for i, name in enumerate(SLICES)} == {name: brute(views) for name, views in SLICES.items()}
     excluded = {name for i, name in enumerate(SLICES) if got[i] == "exclude"}
     assert excluded == {"steady", "upper tier", "high, called", "high, not called, steady", "loss in 5 and 7", "loss below the bands", "loss of a protected one"}
 
 
 def test_windows_wider_than_the_series_are_left_out(spark):
-    frame = spark.createDataFrame([{"dataset_id": "d", "slice_index": i, **look(geometry=True)} for i in range(5)])
-    rows = window_evidence([(w, frame) for w in (3, 5, 7)]).select(F.col("details.window").alias("w")).collect()
+    frame = spark.createDataFrame([{"dataset_id": "d", "slice_index": i, "window": w, **look(geometry=True)} for i in range(5) for w in (3, 5, 7)])
+    rows = quality.window_evidence(frame).select(F.col("details.window").alias("w")).collect()
     assert [list(r.w) for r in rows] == [[3, 5]] * 5
+
+
+def made_up(seed, n):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        r = {"n_locations": 900.0 + rng.randint(-60, 60), "hull_area": 100 + rng.random() * 4, "cell_density": 9 + rng.random(), "median_total_counts": 100 + 8 * rng.random(), "median_n_genes": 50.0 + rng.randint(-2, 2),
+             "zero_fraction": 0.5 + 0.02 * rng.random(), "hole_fraction": 0.01 * rng.random(), "fragmentation": 0.02 * rng.random(), "coordinate_valid_fraction": 1.0}
+        rows.append(r)
+    for i in rng.sample(range(n), max(1, n // 3)):
+        kind = rng.choice(["capture", "geometry", "hole", "missing", "taper", "bad xy"])
+        if kind == "capture":
+            rows[i].update(median_total_counts=2.0, median_n_genes=2.0, zero_fraction=0.98)
+        elif kind == "geometry":
+            rows[i].update(n_locations=200.0, hull_area=40.0, cell_density=5.0)
+        elif kind == "hole":
+            rows[i].update(hole_fraction=0.4, cell_density=4.0)
+        elif kind == "missing":
+            rows[i].update(median_total_counts=None, cell_density=None)
+        elif kind == "taper":
+            for k, j in enumerate(range(i, n)):
+                rows[j].update(n_locations=880.0 * 0.7**k, hull_area=95 * 0.72**k)
+        else:
+            rows[i].update(coordinate_valid_fraction=0.5, n_locations=100.0)
+    return rows, [(rng.choice([0.01, 0.02, 0.3, None]), rng.choice([0.9, 0.4, None]), rng.choice([0.02, 0.3, None])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("names", [("n_locations", "hull_area", "cell_density", "median_total_counts", "median_n_genes", "zero_fraction", "hole_fraction", "fragmentation", "coordinate_valid_fraction"), ("n_locations", "median_total_counts")])
+def test_scores_equal_their_formulas(spark, names):
+    series = {f"d{n}": made_up(n, n) for n in (1, 2, 3, 4, 6, 9, 14)}
+    flat = made_up(1, 9)[0][0] | {"median_total_counts": 100.0, "median_n_genes": 50.0, "zero_fraction": 0.5}
+    series["x"] = [flat | ({"median_total_counts": 2.0, "median_n_genes": 2.0, "zero_fraction": 0.98} if i == 4 else {}) for i in range(9)], [(0.02, 0.9, 0.02)] * 9
+    rows = [{"dataset_id": k, "slice_index": 3 * i, **{m: r[m] for m in names}} for k, (rs, _) in series.items() for i, r in enumerate(rs)]
+    schema = "dataset_id string, slice_index int, " + ", ".join(f"{m} double" for m in names)
+    links = [(k, 3 * i, w, *c) for k, (_, cs) in series.items() for i, c in enumerate(cs) for w in (3, 5, 7)]
+    continuity = spark.createDataFrame(links, "dataset_id string, slice_index int, window int, divergence double, similarity double, js double")
+    got = {(r.dataset_id, r.window, r.slice_index): r for r in quality.score_windows(spark.createDataFrame(rows, schema), continuity=continuity).collect()}
+    calls = set()
+    for k, (rs, cs) in series.items():
+        for w in (3, 5, 7):
+            for i, want in enumerate(score([{m: r[m] for m in names} for r in rs], w, cs)):
+                have = got[k, w, 3 * i]
+                for name, value in want.items():
+                    assert have[name] == pytest.approx(value, abs=1e-9), (k, w, i, name)
+                calls.add(want["recommendation"])
+    assert calls == {"keep", "review", "exclude"} or len(names) == 2
+
+
+def test_registered_scores_equal_their_formulas(spark):
+    metrics = quality.held(quality.series_metrics(spark, SF))
+    links = {(r.slice_index): (r.divergence, r.similarity, r.js) for r in quality.series_continuity(spark, SF, (5,)).collect()}
+    rows = sorted((r.asDict() for r in metrics.collect()), key=lambda r: r["slice_index"])
+    want = score(rows, 5, [links[r["slice_index"]] for r in rows])
+    got = {r.slice_index: r for r in quality.score_windows(metrics, (5,), quality.series_continuity(spark, SF, (5,))).collect()}
+    for r, w in zip(rows, want):
+        assert all(got[r["slice_index"]][k] == pytest.approx(v, abs=1e-9) for k, v in w.items())
+
+
+def test_window_choice(spark):
+    rows, _ = made_up(5, 11)
+    frame = spark.createDataFrame([{"dataset_id": "a", "slice_index": i, **r} for i, r in enumerate(rows)] + [{"dataset_id": "b", "slice_index": i, **r} for i, r in enumerate(rows[:2])])
+    got = {(r.dataset_id, r.window): r for r in quality.choose_window(frame).collect()}
+    quiet = [(None, None, None)] * 11
+    for w in (3, 5, 7):
+        base = score(rows, w, quiet)
+        inner = list(range(max(w // 2, 1), max(11 - w // 2, 1)))
+        spots = inner if len(inner) <= 8 else [inner[int(j * (len(inner) - 1) / 7)] for j in range(8)]
+        hits, gains = [], []
+        for t in spots:
+            hurt = [dict(r) for r in rows]
+            for k in quality.DEFECT_COLUMNS:
+                if hurt[t].get(k) is not None:
+                    hurt[t][k] *= 0.24
+            hurt[t]["zero_fraction"] = min(0.999, hurt[t]["zero_fraction"] + 0.35)
+            s = score(hurt, w, quiet)[t]
+            hits.append(s["recommendation"] != "keep")
+            gains.append(s["quality_anomaly_score"] - base[t]["quality_anomaly_score"])
+        flagged = sum(b["recommendation"] != "keep" for b in base) / 11
+        utility = sum(hits) / len(hits) + 0.35 * sum(gains) / len(gains) - 0.35 * flagged - 0.012 * (w - 3)
+        assert got["a", w].utility == pytest.approx(utility, abs=1e-9)
+    assert sum(r.chosen for k, r in got.items() if k[0] == "a") == 1 and [k[1] for k in got if k[0] == "b"] == [3]

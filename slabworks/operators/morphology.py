@@ -1,12 +1,15 @@
-"""Geometry without an SQL form, a slice at a time in NumPy: hull, components, holes, expression components."""
+"""Geometry without an SQL form, a slice at a time in NumPy: hull, components, holes, depth, expression components."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slabworks.functions.columns import EPS
+from slabworks.operators.nearness import Grid
 from slabworks.session import ship
 
 
@@ -69,14 +72,26 @@ def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def nearest_distances(xy: np.ndarray, block: int = 512) -> np.ndarray:
-    """Distance of each point to its nearest other, in blocks."""
-    out = np.empty(len(xy))
-    for i in range(0, len(xy), block):
-        d = ((xy[i : i + block, None, :] - xy[None]) ** 2).sum(axis=2)
-        d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
-        out[i : i + block] = np.sqrt(d.min(axis=1))
-    return out
+def low_depth(xy: np.ndarray, counts: np.ndarray, spacing: float, k: int = 12) -> tuple[float, float]:
+    """Share of points of low depth, and the share that the largest cluster of them takes; (0, 0) for few points.
+
+    Depth is log(1 + count).  A point is low if it lies far below the median of its k neighbours (against the spread
+    of such differences), or below the slice's median by a factor of 2.5; low points cluster within 2.75 spacings.
+    """
+    if len(xy) < max(8, k + 2):
+        return 0.0, 0.0
+    depth = np.log1p(np.maximum(counts, 0))
+    near, _ = Grid(xy).nearest(xy, min(k, len(xy) - 1), own=True)
+    off = depth - np.median(depth[near], axis=1)
+    mid = np.median(off)
+    spread = 1.4826 * np.median(np.abs(off - mid))
+    local = (off - mid) / spread < -2.75 if spread > EPS else off < -np.log(2.5)
+    low = np.flatnonzero(local | (depth < np.median(depth) - np.log(2.5)))
+    if len(low) < 2 or not spacing > 0:
+        return len(low) / len(xy), len(low[:1]) / len(xy)
+    a, b = grid_neighbours(xy[low], 2.75 * spacing)
+    largest = np.unique(components(len(low), a, b), return_counts=True)[1].max()
+    return len(low) / len(xy), float(largest) / len(xy)
 
 
 def grown(grid: np.ndarray) -> np.ndarray:
@@ -126,57 +141,118 @@ def hole_fraction(xy: np.ndarray, spacing: float, least_cells: int = 3, most_cel
     return float(n[n >= least_cells].sum() / (solid | holes).sum())
 
 
+GEOMETRY = (
+    "dataset_id string, slice_index int, n long, hull_area double, nn_median double, knn_tail_ratio double, n_components int, largest_component_fraction double, "
+    "fragmentation double, hole_fraction double, local_low_depth_fraction double, regional_low_depth_cluster_fraction double"
+)
+
+
+def geometry_of(xy: np.ndarray, counts: np.ndarray | None = None) -> dict:
+    """The geometry of one slice's finite points; fewer than two points have none.
+
+    Coincident points count for components but not for the spacing; points on a line have no hull.
+    """
+    row = {"n": len(xy)}
+    if len(xy) < 2:
+        return row
+    d = Grid(xy).nearest(xy, 1, own=True)[1][:, 0]
+    positive = d[d > 0]
+    row["hull_area"] = hull_area(xy)
+    if len(positive):
+        mid = float(np.median(positive))
+        label, n = np.unique(components(len(xy), *grid_neighbours(xy, 3.25 * mid)), return_counts=True)
+        share = float(n.max() / len(xy))
+        row |= {"nn_median": mid, "knn_tail_ratio": max(float(np.quantile(positive, 0.95)) / mid - 1, 0.0), "n_components": len(label), "largest_component_fraction": share, "fragmentation": 1 - share, "hole_fraction": hole_fraction(xy, mid)}
+        if counts is not None:
+            row["local_low_depth_fraction"], row["regional_low_depth_cluster_fraction"] = low_depth(xy, counts, mid)
+    return row
+
+
 def slice_geometry(points: DataFrame) -> DataFrame:
-    """A row a slice: hull_area, nn_median, nn_tail, n_components, largest_component_fraction, fragmentation, hole_fraction.
+    """A row a slice of GEOMETRY; depth columns are NULL without total_counts.
 
     Only the columns needed are sent, and a task holds a slice at a time.
     """
-    schema = "dataset_id string, slice_index int, n long, hull_area double, nn_median double, knn_tail_ratio double, n_components int, largest_component_fraction double, fragmentation double, hole_fraction double"
+    counted = "total_counts" in points.columns
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         xy = pdf[["x", "y"]].to_numpy(float)
-        xy = xy[np.isfinite(xy).all(axis=1)]
-        row = dict.fromkeys([c.split()[0] for c in schema.split(", ")])
-        row |= {"dataset_id": key[0], "slice_index": key[1], "n": len(xy)}
-        if len(xy) > 1:
-            d = nearest_distances(xy)
-            positive = d[d > 0]
-            row["hull_area"] = hull_area(xy)
-            if len(positive):
-                mid = float(np.median(positive))
-                a, b = grid_neighbours(xy, 3.25 * mid)
-                label, n = np.unique(components(len(xy), a, b), return_counts=True)
-                share = float(n.max() / len(xy))
-                row |= {"nn_median": mid, "knn_tail_ratio": max(float(np.quantile(positive, 0.95)) / mid - 1, 0.0), "n_components": len(label), "largest_component_fraction": share, "fragmentation": 1 - share, "hole_fraction": hole_fraction(xy, mid)}
-        return pd.DataFrame([row])
+        good = np.isfinite(xy).all(axis=1)
+        counts = pdf["total_counts"].fillna(0).to_numpy(float)[good] if counted else None
+        empty = dict.fromkeys([c.split()[0] for c in GEOMETRY.split(", ")])
+        return pd.DataFrame([empty | {"dataset_id": key[0], "slice_index": key[1]} | geometry_of(xy[good], counts)])
 
     ship(points.sparkSession)
-    rows = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), "x", "y")
-    return rows.groupBy("dataset_id", "slice_index").applyInPandas(one, schema)
+    sent = ["x", "y"] + (["total_counts"] if counted else [])
+    rows = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), *sent)
+    return rows.groupBy("dataset_id", "slice_index").applyInPandas(one, GEOMETRY)
+
+
+#: Genes that principal components are taken of, at most: their Gram matrix is held by a task and by the driver.
+MOST_GENES = 2000
+
+
+def gram(normalized: DataFrame, genes: list[str]) -> np.ndarray:
+    """Sum over cells of the outer products of their gene vectors, zeros implied.
+
+    Cells are dealt whole over tasks; a task adds up dense blocks of them and sends its sums' non-zero upper half.
+    """
+    place = {g: i for i, g in enumerate(genes)}
+    n = len(genes)
+
+    def run(batches):
+        total, cells, rows = np.zeros((n, n)), [], 0
+
+        def flush() -> None:
+            frame = pd.concat(cells)
+            code, _ = pd.factorize(frame["cell_id"])
+            dense = np.zeros((code.max() + 1, n))
+            np.add.at(dense, (code, frame["gene"].map(place).to_numpy()), frame["value"].to_numpy())
+            total.__iadd__(dense.T @ dense)
+
+        for batch in batches:
+            frame = batch.to_pandas()
+            if rows > 200_000 and len(frame):
+                last = cells[-1]["cell_id"].iloc[-1]  # rows come sorted by cell: the last cell may go on
+                going = pd.concat(cells)
+                open_ = going["cell_id"] == last
+                cells = [going[~open_]]
+                if len(cells[0]):
+                    flush()
+                cells, rows = [going[open_]], int(open_.sum())
+            cells.append(frame)
+            rows += len(frame)
+        if rows:
+            flush()
+        i, j = np.nonzero(np.triu(total))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])], names=["i", "j", "s"])
+
+    ship(normalized.sparkSession)
+    rows = normalized.select("cell_id", "gene", F.col("value").cast("double").alias("value")).repartition("cell_id").sortWithinPartitions("cell_id")
+    sums = rows.mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).toPandas()  # n * n / 2 rows at most
+    out = np.zeros((n, n))
+    out[sums["i"], sums["j"]] = sums["s"]
+    return out + np.triu(out, 1).T
 
 
-def expression_components(normalized: DataFrame, n_cells: int, k: int) -> tuple[DataFrame, np.ndarray]:
+def expression_components(normalized: DataFrame, n_cells: int, k: int, most: int = MOST_GENES) -> tuple[DataFrame, np.ndarray]:
     """Centred principal scores (cell_id, scores) of a sparse long table, and the loadings.
 
-    The Gram matrix of at most a few thousand chosen genes is summed by a self-join on the cell, zeros implied; its
-    eigenvectors are found on the driver and go back as a table of loadings.  Signs make each largest loading positive.
+    The table is of chosen genes already (variable ones): more than ``most`` are refused.  Eigenvectors of the Gram
+    matrix are found on the driver and go back as a table of loadings.  Signs make each largest loading positive, and
+    directions without variance are left out.
     """
-    genes = sorted(r.gene for r in normalized.select("gene").distinct().collect())
-    at = {g: i for i, g in enumerate(genes)}
-    sums = {r.gene: r.s for r in normalized.groupBy("gene").agg(F.sum("value").alias("s")).collect()}
-    a = normalized.select("cell_id", F.col("gene").alias("g"), F.col("value").alias("v"))
-    b = normalized.select("cell_id", F.col("gene").alias("h"), F.col("value").alias("w"))
-    gram = np.zeros((len(genes), len(genes)))
-    for r in a.join(b, "cell_id").groupBy("g", "h").agg(F.sum(F.col("v") * F.col("w")).alias("s")).collect():
-        gram[at[r.g], at[r.h]] = r.s
-    mean = np.array([sums[g] / n_cells for g in genes])
-    values, vectors = np.linalg.eigh(gram - n_cells * np.outer(mean, mean))
+    stats = normalized.groupBy("gene").agg(F.sum("value").alias("s")).orderBy("gene").limit(most + 1).collect()
+    if len(stats) > most:
+        raise ValueError(f"more than {most} genes: choose the variable ones first")
+    genes, mean = [r.gene for r in stats], np.array([r.s / n_cells for r in stats])
+    values, vectors = np.linalg.eigh(gram(normalized, genes) - n_cells * np.outer(mean, mean))
     order = np.argsort(values)[::-1][:k]
     keep = [i for i in order if values[i] > 1e-10 * max(values.max(), 1e-300)]
     load = vectors[:, keep]
     load = load * np.where(load[np.abs(load).argmax(axis=0), np.arange(load.shape[1])] < 0, -1.0, 1.0)
     offset = mean @ load
-    table = normalized.sparkSession.createDataFrame([(g, load[i].tolist()) for g, i in at.items()], "gene string, load array<double>")
+    table = normalized.sparkSession.createDataFrame([(g, row.tolist()) for g, row in zip(genes, load)], "gene string, load array<double>")
     parts = [F.sum(F.col("value") * F.get("load", F.lit(j))).alias(f"p{j}") for j in range(load.shape[1])]
-    scores = normalized.join(F.broadcast(table), "gene").groupBy("cell_id").agg(*parts)
+    scores = normalized.join(F.broadcast(table), "gene").groupBy("cell_id").agg(*parts)  # ``most`` rows at most
     return scores.select("cell_id", F.array(*[F.col(f"p{j}") - float(offset[j]) for j in range(load.shape[1])]).alias("scores")), load

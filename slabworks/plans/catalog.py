@@ -364,9 +364,10 @@ def neighbour_spacing(spark, sf_dir):
 )
 def label_agreement(spark, sf_dir):
     c = X.cells(spark, sf_dir)
-    b = c.select((F.col("slice_index") - 1).alias("slice_index"), F.col("cell_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("celltype").alias("m"))
-    near = c.join(b, "slice_index").groupBy("slice_index", "cell_id").agg(F.first("celltype").alias("l"), F.min_by("m", F.struct((F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2, "other")).alias("m"))
-    return near.groupBy("slice_index").agg(F.count("*").alias("n"), r6(F.avg((F.col("l") == F.col("m")).cast("double"))).alias("agreement"))
+    following = c.withColumn("slice_index", F.col("slice_index") - 1)
+    near = R.nearest_between(c, following, 1, ["slice_index"])
+    both = near.join(c.select("cell_id", F.col("celltype").alias("l")), "cell_id").join(c.select(F.col("cell_id").alias("other"), F.col("celltype").alias("m")), "other")
+    return both.groupBy("slice_index").agg(F.count("*").alias("n"), r6(F.avg((F.col("l") == F.col("m")).cast("double"))).alias("agreement"))
 
 
 @query("unknown_ids", "SELECT o_custkey AS cell_id FROM orders EXCEPT SELECT user_id FROM events")

@@ -34,25 +34,35 @@ def read_points(spark: SparkSession, path: str, required: tuple[str, ...] = POIN
 def read_exchange_matrix(spark: SparkSession, folder: str) -> DataFrame:
     """A matrix-market trio (matrix.mtx, features.tsv, barcodes.tsv) as barcode, gene, value; duplicates summed, zeros dropped.
 
-    Names are joined by their line numbers, which files of one split keep; a number without a name is an error.
+    The size line is the first line that is neither a comment nor blank, found by its place in the file.  A file whose
+    lines, sizes or names don't agree with it is an error: before anything is returned for sizes and counts, while
+    rows are read for a line that isn't an entry.
     """
-    lines = spark.read.text(f"{folder}/matrix.mtx").where("value not like '\\%%'")
+    lines = spark.read.text(f"{folder}/matrix.mtx").select("value", F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")).alias("at"))
+    lines = lines.where(~F.col("value").startswith("%") & (F.trim("value") != ""))
+    first = lines.agg(F.min("at").alias("at"), F.min_by("value", "at").alias("value"), F.count("*").alias("n")).first()
+    size = [int(x) for x in (first.value or "").split()] if (first.value or "").replace(" ", "").replace("\t", "").isdigit() else []
+    if len(size) != 3:
+        raise ValueError("the matrix has no size line")
+    if first.n - 1 != size[2]:
+        raise ValueError(f"the matrix has {first.n - 1} entries instead of {size[2]}")
     part = F.split(F.trim("value"), r"\s+")
-    cells = lines.select(part.alias("p")).where(F.size("p") == 3)
-    shape = F.struct(F.get("p", F.lit(0)).cast("long").alias("row"), F.get("p", F.lit(1)).cast("long").alias("col"), F.get("p", F.lit(2)).cast("double").alias("value"))
-    rows = cells.select(shape.alias("s")).select("s.*")
-    size = rows.limit(1)  # the first line that isn't a comment
+    entries = lines.where((F.col("at.block") != first["at"].block) | (F.col("at.i") != first["at"].i)).select("value", part.alias("p"))
+    bad = lambda text: F.raise_error(F.lit(text))
+    row, col, value = F.get("p", F.lit(0)).try_cast("long"), F.get("p", F.lit(1)).try_cast("long"), F.get("p", F.lit(2)).try_cast("double")
+    good = (F.size("p") == 3) & row.between(1, size[0]) & col.between(1, size[1]) & value.isNotNull()
+    rows = entries.select(F.when(F.coalesce(good, F.lit(False)), row).otherwise(bad("a line of the matrix is not an entry").cast("long")).alias("row"), col.alias("col"), value.alias("value"))
 
-    def named(name: str, index: str, out: str) -> DataFrame:
+    def named(name: str, index: str, out: str, want: int) -> DataFrame:
         text = spark.read.text(f"{folder}/{name}", wholetext=True)
-        line = text.select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("i", "line"))
-        return line.select((F.col("i") + 1).cast("long").alias(index), F.get(F.split("line", "\t"), F.lit(0)).alias(out))
-
-    head = size.first()
-    entries = rows if head is None else rows.where(~((F.col("row") == head.row) & (F.col("col") == head.col) & (F.col("value") == head.value)))
-    joined = entries.join(named("features.tsv", "row", "gene"), "row", "left").join(named("barcodes.tsv", "col", "barcode"), "col", "left")
-    named_all = F.when(F.col("gene").isNull() | F.col("barcode").isNull(), F.raise_error(F.lit("an entry has no name")).cast("string")).otherwise(F.col("gene"))
-    return joined.select("barcode", named_all.alias("gene"), "value").groupBy("barcode", "gene").agg(F.sum("value").alias("value")).where("value <> 0")
+        line = text.select(F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), r"\r?\n")).alias("i", "line"))
+        found = line.select((F.col("i") + 1).cast("long").alias(index), F.get(F.split("line", "\t"), F.lit(0)).alias(out))
+        if (n := found.count()) != want:
+            raise ValueError(f"{name} has {n} names instead of {want}")
+        return found
+
+    joined = rows.join(named("features.tsv", "row", "gene", size[0]), "row").join(named("barcodes.tsv", "col", "barcode", size[1]), "col")
+    return joined.groupBy("barcode", "gene").agg(F.sum("value").alias("value")).where("value <> 0")
 
 
 def read_wide_counts(spark: SparkSession, path: str, id_column: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slabworks.functions import columns as C
-from slabworks.operators import geometry, morphology, registration, relational, review, windows
+from slabworks.operators import geometry, morphology, nearness, registration, relational, review, windows
 from slabworks.plans import dag
 from slabworks.sources import files
 
@@ -48,14 +48,43 @@ def test_rigid_fit_recovers(spark, theta):
     assert r.theta == pytest.approx(theta, abs=1e-9) and (r.tx, r.ty) == pytest.approx((9.0, -4.0)) and r.rmse < 1e-9
 
 
-def test_registration_recovers_and_reports_degenerate(spark):
+def two_blobs():
     rng = np.random.default_rng(5)
-    blob = np.vstack([rng.normal(size=(160, 2)) * [1, 3], rng.normal(size=(100, 2)) * 0.7 + [6, 4]])
-    moved = registration.turned(blob, 1.2) + [9, -4]
-    rows = [("d", 0, i, *map(float, p)) for i, p in enumerate(moved)] + [("d", 1, 1000 + i, *map(float, p)) for i, p in enumerate(blob)] + [("d", 2, 5000 + i, float(i), 0.0) for i in range(20)]
-    df = spark.createDataFrame(rows, "dataset_id string, slice_index int, cell_id long, x double, y double")
-    got = {r.fixed: r for r in registration.register_series(df).collect()}
-    assert got[0].theta == pytest.approx(1.2, abs=0.02) and got[0].residual < 0.02 and got[1].status == "degenerate" and len(got) == 2
+    return np.vstack([rng.normal(size=(160, 2)) * [1, 3], rng.normal(size=(100, 2)) * 0.7 + [6, 4]])
+
+
+def frame(spark, slices, labels=None):
+    rows = [("d", i, 10_000 * i + j, float(p[0]), float(p[1]), None if labels is None else labels[i][j]) for i, xy in enumerate(slices) for j, p in enumerate(xy)]
+    return spark.createDataFrame(rows, "dataset_id string, slice_index int, cell_id long, x double, y double, celltype string")
+
+
+def test_series_is_composed_from_the_middle(spark):
+    blob = two_blobs()
+    angles = [0.5, 0.3, 0.0, 0.2, 0.4]  # steps from which closest points settle exactly
+    slices = [registration.turned(blob, a) + [3 * i, -i] for i, a in enumerate(angles)]
+    got = {r.slice_index: r for r in registration.register_series(frame(spark, slices)).collect()}
+    assert [got[i].place for i in range(5)] == [-2, -1, 0, 1, 2] and [got[i].parent for i in range(5)] == [1, 2, None, 2, 3]
+    for i, r in got.items():
+        back = registration.turned(slices[i], r.theta) + [r.tx, r.ty]
+        assert np.abs(back - slices[2]).max() < 0.05
+        assert r.status == ("reference" if i == 2 else "estimated") and not r.warnings and r.frame_id.startswith("display:d:")
+    assert got[0].two_step_residual < 0.02 and got[1].two_step_residual is None
+    again = registration.register_series(frame(spark, slices).repartition(7)).select("frame_id").first()
+    assert again.frame_id == got[0].frame_id
+
+
+def test_failures_and_doubts_are_passed_on(spark):
+    blob = two_blobs()
+    line = np.column_stack([np.arange(60.0), np.zeros(60)])
+    wide = registration.turned(blob, 0.4) * 2.5
+    bad = {r.slice_index: r for r in registration.register_series(frame(spark, [blob, line, blob, blob, blob, wide, blob])).collect()}
+    assert bad[3].status == "reference" and bad[2].status == "estimated"
+    assert bad[1].status == "failed" and "fit_failed" in bad[1].warnings
+    assert bad[0].status == "blocked" and "failed_reference_chain" in bad[0].warnings
+    assert bad[5].status == "warning" and "low_geometric_overlap" in bad[5].warnings
+    assert bad[6].status == "warning" and "uncertain_reference_chain" in bad[6].warnings
+    lost = registration.register_series(frame(spark, [blob, line, blob])).collect()
+    assert {r.slice_index: r.status for r in lost} == {0: "blocked", 1: "failed", 2: "blocked"}
 
 
 def test_registration_warns_of_doubtful_fits():
@@ -63,13 +92,69 @@ def test_registration_warns_of_doubtful_fits():
     half = rng.normal(size=(80, 2)) * [3, 1]
     even = np.vstack([half, -half])  # looks the same after half a turn
     turned = registration.register(registration.turned(even, 0.4), even)
-    assert turned["ambiguity"] < 1.05 and turned["residual"] < 0.08 and turned["status"] == "warning"
+    assert turned["ambiguity"] < 1.05 and turned["residual"] < 0.08 and turned["warnings"] == ["orientation_ambiguous"]
+    side = np.array(["l"] * 80 + ["r"] * 80)
+    named = registration.register(registration.turned(even, 0.4), even, side, side, registration.Fit(annotation=0.5))
+    assert named["status"] == "estimated" and named["theta"] == pytest.approx(-0.4, abs=0.02) and named["annotation"] < 0.01
+    plain = registration.register(even, even, None, None, registration.Fit(annotation=0.5))
+    assert "annotation_support_unavailable" in plain["warnings"]
     loose = registration.register(half * 4, half)
-    assert loose["residual"] > 0.08 and loose["status"] == "warning"
+    assert loose["residual"] > 0.08 and "low_geometric_overlap" in loose["warnings"]
+    assert registration.register(half[:19], half)["status"] == "failed"
     blob = np.vstack([half, rng.normal(size=(60, 2)) * 0.5 + [6, 4]])
     assert registration.register(registration.turned(blob, 0.4), blob)["status"] == "estimated"
 
 
+@pytest.mark.parametrize("kind", ["even", "lumps", "line", "same", "far"])
+def test_grid_neighbours_are_exact(kind):
+    rng = np.random.default_rng(3)
+    p = {"even": rng.uniform(size=(300, 2)), "lumps": np.vstack([rng.normal(size=(150, 2)) * 1e-3, rng.normal(size=(150, 2)) * 5]), "line": np.column_stack([np.arange(90.0), np.zeros(90)]), "same": np.ones((40, 2)), "far": np.vstack([rng.uniform(size=(80, 2)), [[1e6, -1e6]]])}[kind]
+    q = np.vstack([p[::7], p.min(axis=0) - 3, p.max(axis=0) + 50])
+    for own, x in ((True, p), (False, q)):
+        at, far = nearness.Grid(p).nearest(x, 5, own=own)
+        d = np.sqrt(((x[:, None] - p[None]) ** 2).sum(axis=2))
+        if own:
+            d[np.arange(len(p)), np.arange(len(p))] = np.inf
+        assert np.allclose(far, np.sort(d, axis=1)[:, :5])
+        assert np.allclose(far, np.take_along_axis(d, at, axis=1)) and all(len(set(r)) == 5 for r in at.tolist())
+
+
+def test_nearest_between_is_exact_where_density_varies(spark):
+    rng = np.random.default_rng(6)
+    xy = np.vstack([rng.normal(size=(60, 2)) * 0.01, rng.uniform(-50, 50, size=(40, 2))])
+    rows = [("a", i, *map(float, p)) for i, p in enumerate(xy)] + [("b", 500, 0.0, 0.0), ("b", 501, 1.0, 1.0), ("c", 600, 0.0, 0.0), ("b", 502, None, 1.0)]
+    df = spark.createDataFrame(rows, "s string, cell_id long, x double, y double")
+    got = {}
+    for r in relational.nearest(df, 4, ["s"]).collect():
+        got.setdefault(r.cell_id, []).append((r.rank, r.other))
+    d = ((xy[:, None] - xy[None]) ** 2).sum(axis=2)
+    for i in range(100):
+        want = sorted((d[i, j], j) for j in range(100) if j != i)[:4]
+        assert [o for _, o in sorted(got[i])] == [j for _, j in want]
+    assert got[500] == [(1, 501)] and got[501] == [(1, 500)] and 600 not in got and 502 not in got
+
+
+def test_low_depth():
+    xy = np.array([(i, j) for i in range(20) for j in range(20)], float)
+    counts = np.full(400, 200.0)
+    patch = (np.abs(xy - 5) <= 2).all(axis=1)
+    assert morphology.low_depth(xy, counts, 1.0) == (0.0, 0.0)
+    counts[patch] = 10
+    share, cluster = morphology.low_depth(xy, counts, 1.0)
+    assert share == cluster == 25 / 400
+    counts[-1] = 3
+    assert morphology.low_depth(xy, counts, 1.0) == (26 / 400, 25 / 400)
+    assert morphology.low_depth(xy[:13], counts[:13], 1.0) == (0.0, 0.0)
+
+
+def test_even_sample_without_one_task(spark):
+    df = spark.range(1000).selectExpr("id * 7 % 1000 as v").repartition(5)
+    got = sorted(r.v for r in relational.even_sample(df, ["v"], 13).collect())
+    assert got == sorted({i * 999 // 12 for i in range(13)})
+    assert relational.even_sample(df, ["v"], 1).first().v == 0 and relational.even_sample(df.limit(5), ["v"], 9).count() == 5 and relational.even_sample(df.limit(0), ["v"], 9).count() == 0
+    assert sorted((r.v, r.i) for r in relational.numbered(df, ["v"], "i").collect()) == [(i, i) for i in range(1000)]
+
+
 def test_components_and_hull():
     square = np.array([[0, 0], [0, 4], [4, 0], [4, 4], [1, 1], [2, 2]], float)
     assert morphology.hull_area(square) == 16 and morphology.hull_area(square[:2]) is None and morphology.hull_area(np.array([[0, 0], [1, 1], [2, 2.0]])) is None
@@ -113,12 +198,21 @@ def test_radius_pairs_with_edges_of_the_grid(spark):
     assert got == {(i, j) for i in range(150) for j in range(i + 1, 150) if (xy[i][0] - xy[j][0]) ** 2 + (xy[i][1] - xy[j][1]) ** 2 <= 0.3 * 0.3}
 
 
-def test_sampling_targets():
+def test_sampling_targets(spark):
+    def targets(total, counts, **kw):
+        rows = review.sampling_targets(spark.createDataFrame(list(counts.items()), "group string, n long"), total, **kw)
+        return {r.group: r.target for r in rows.collect()}
+
     counts = {"a": 100, "b": 5000, "c": 20000, "d": 90}
-    got = review.sampling_targets(counts, 3000)
-    assert sum(got.values()) == 3000 and got["a"] == 100 and got["d"] == 90 and got["c"] > got["b"] > 80
-    assert review.sampling_targets(counts, 10**6) == counts
-    assert sum(review.sampling_targets(counts, 3000, most=500).values()) == 1190
+    got = targets(3000, counts)
+    # by hand: bases 100, 80, 80, 90 leave 2650, dealt as the roots of 4920 and 19920
+    share = 2650 * math.sqrt(4920) / (math.sqrt(4920) + math.sqrt(19920))
+    assert got == {"a": 100, "d": 90, "b": 80 + math.floor(share) + (share % 1 > 0.5), "c": 80 + math.floor(2650 - share) + (share % 1 < 0.5)}
+    assert targets(10**6, counts) == counts
+    assert targets(3000, counts, most=500) == {"a": 100, "b": 500, "c": 500, "d": 90}
+    assert targets(100, counts) == {"a": 100, "b": 80, "c": 80, "d": 90}  # the least of each group goes first
+    assert sum(targets(4000, {f"g{i}": 310 + 37 * i for i in range(30)}).values()) == 4000
+    assert targets(5, {}) == {}
 
 
 def test_recipe_is_replayed_in_order(spark):
@@ -160,6 +254,23 @@ def test_matrix_market_trio(spark, tmp_path):
         files.positioned(counts, at.where("barcode = 'BB'"))
 
 
+def test_damaged_matrices_are_errors(spark, tmp_path):
+    def read(name, matrix, features="G1\n", barcodes="AA\n"):
+        folder = tmp_path / name
+        folder.mkdir()
+        for file, text in (("matrix.mtx", matrix), ("features.tsv", features), ("barcodes.tsv", barcodes)):
+            (folder / file).write_text(text)
+        return files.read_exchange_matrix(spark, str(folder)).collect()
+
+    assert [tuple(r) for r in read("one", "%%MatrixMarket\n1 1 1\n1 1 1\n")] == [("AA", "G1", 1.0)]
+    assert len(read("same", "2 2 2\n2 2 2\n1 1 5\n", "G1\nG2\n", "AA\nBB\n")) == 2  # an entry that equals the size line
+    for name, matrix in (("short", "1 1 2\n1 1 1\n"), ("empty", ""), ("torn", "1 1 1\n1 1\n"), ("outside", "1 1 1\n1 2 4\n"), ("words", "1 1 1\n1 1 x\n")):
+        with pytest.raises(Exception, match="matrix"):
+            read(name, matrix)
+    with pytest.raises(ValueError, match="names"):
+        read("names", "2 1 1\n1 1 1\n")
+
+
 def test_points_and_wide_counts(spark, tmp_path):
     (tmp_path / "p.csv").write_text("cell_id,slice_id,x,y\nc1,s1,1.5,2\nc2,s1,bad,3\n")
     assert [(r.cell_id, r.x) for r in files.read_points(spark, f"{tmp_path}/p.csv").orderBy("cell_id").collect()] == [("c1", 1.5), ("c2", None)]

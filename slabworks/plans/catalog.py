@@ -5,8 +5,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,32 +14,10 @@ from slabworks.operators import relational as R
 from slabworks.operators import review as V
 from slabworks.operators import windows as W
 from slabworks.plans import quality
+from slabworks.plans.registry import QUERIES, SQL, query, r6  # noqa: F401  the lists are read from here
 from slabworks.sources import files as S
 from slabworks.sources import fixtures as X
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, uses: str = "") -> Callable:
-    """Registers a query; ``uses`` names the fixture tables that its SQL begins with."""
-
-    def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[name] = f
-        if sql is not None:
-            tables = ", ".join(X.SQL[t] for t in uses.split())
-            body = sql.strip()
-            joined = ", " if body.startswith("WITH ") else " "
-            SQL[name] = f"WITH {tables}{joined}{body.removeprefix('WITH ')}" if tables else body
-        return f
-
-    return put
-
-
-def r6(c: Column | str) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
-
-
 def slice_metrics(p: DataFrame) -> DataFrame:
     """n, median and mean counts, valid share and label entropy of each slice."""
     kinds = p.groupBy("dataset_id", "slice_index", "celltype").agg(F.count("*").alias("k"))
@@ -724,3 +700,7 @@ def tissue_components(spark, sf_dir):
     from slabworks.operators.registration import slice_components
 
     return slice_components(X.cells(spark, sf_dir), 0.05)
+
+
+# the other modules register themselves
+from slabworks.plans import alignment  # noqa: E402, F401

@@ -109,7 +109,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     wanted = named.select("item_id", "item_key", _of_item(F.col("text"), F.col("width"), shingles).alias("want")).withColumn("n_item", F.size("want").cast("long"))
     needed = written(hits.join(wanted, "item_key").select("look", "item_id", "item_key", "n_item", F.explode("want").alias("s")), "decontam-needed")
     per_text = needed.groupBy("look").agg(F.collect_set("s").alias("want"))
-    texts = keyed.join(per_text, "look").select("doc_id", "look", "text", "want", text_key(F.col("text")).alias("text_key"))
+    found = keyed.join(hits.select("look").distinct(), "look", "left_semi")  # so that other texts don't move
+    texts = found.join(per_text, "look").select("doc_id", "look", "text", "want", text_key(F.col("text")).alias("text_key"))
     texts = written(texts.select("doc_id", "look", "text_key", F.array_intersect("want", shingles(F.col("text"), widths)).alias("have")), "decontam-texts")
     have = texts.groupBy("look", "text_key").agg(F.first("have").alias("have")).select("look", "text_key", F.explode("have").alias("s"))
     pairs = have.join(needed, ["look", "s"]).groupBy("text_key", "item_key").agg(F.first("item_id").alias("item_id"), F.first("n_item").alias("n_item"), F.count("*").alias("n_shared"))

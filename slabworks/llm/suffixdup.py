@@ -103,7 +103,7 @@ def find_segments(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, at in K.slices(batch.column("text"), 1 << 20):
+            for lo, hi, data, at in K.slices(batch.column("text")):
                 doc, start, n, anchor, where = segments(data, at)
                 place = start << 20 | n << 10 | where + 1
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(lo, hi - lo).take(pa.array(doc)), pa.array(anchor.view(np.int64)), pa.array(place)], names=["key", "anchor", "place"])

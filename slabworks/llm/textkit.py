@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; one longer text is one slice.
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

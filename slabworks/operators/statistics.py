@@ -37,8 +37,8 @@ def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
 
     known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     r = known.withColumn("_x", ranked(x)).withColumn("_y", ranked(y))
-    vary = (F.min("_x") < F.max("_x")) & (F.min("_y") < F.max("_y"))
-    return r.groupBy(*by).agg(F.count("*").alias("n"), F.when(vary, F.corr("_x", "_y")).alias("rho"))
+    rho = F.try_divide(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
+    return r.groupBy(*by).agg(F.count("*").alias("n"), rho.alias("rho"))
 
 
 def field_report(rows: DataFrame, raw: str, fitted: str) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import base64
+import json
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slabworks.session import ship
+
 POINT_FIELDS = ("cell_id", "slice_id", "x", "y")
 #: Names under which a coordinate or label may stand, in order of preference.
 ALIASES = {
@@ -123,3 +128,65 @@ def publish(df: DataFrame, path: str, sort_by: list[str] | None = None) -> dict[
 def append_records(records: DataFrame, path: str) -> None:
     """Adds JSON lines to an append-only history."""
     records.coalesce(1).write.mode("append").json(path)
+
+
+def publish_json(spark: SparkSession, value: dict, path: str) -> None:
+    """Writes a small JSON file that isn't there yet; one that is stays, and that is an error."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        raise FileExistsError(path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(json.dumps(value, sort_keys=True, indent=1).encode()))
+    finally:
+        out.close()
+
+
+def publish_series(metrics: DataFrame, calls: DataFrame, folder: str) -> dict[str, int]:
+    """Metrics, calls, what is withheld, and a summary, each by dataset, in a folder that must be new.
+
+    Dataset ids become folder names, so ids that could lead elsewhere are refused.
+    """
+    bad = metrics.select("dataset_id").distinct().where(~F.col("dataset_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9._-]*$")).limit(1).collect()
+    if bad:
+        raise ValueError(f"not a safe id: {bad[0][0]}")
+    excluded = calls.where("call = 'exclude'")
+    summary = calls.groupBy("dataset_id").agg(F.count("*").alias("slices"), F.count_if(F.col("call") == "exclude").alias("excluded"))
+    out = {}
+    for name, frame in (("metrics", metrics), ("calls", calls), ("withheld", excluded), ("summary", summary)):
+        frame.write.mode("errorifexists").partitionBy("dataset_id").json(f"{folder}/{name}")
+        out[name] = frame.sparkSession.read.json(f"{folder}/{name}").count()
+    return out
+
+
+def write_aligned(points: DataFrame, path: str) -> None:
+    """Aligned coordinates as compressed CSV with ten decimals."""
+    rows = points.select("cell_id", F.col("slice_index").cast("string").alias("slice_id"), F.col("celltype").alias("anno"), *[F.format_string("%.10f", c).alias(f"aligned_{c}") for c in "xy"])
+    rows.write.mode("errorifexists").option("header", True).option("compression", "gzip").csv(path)
+
+
+def publish_model(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
+    """Points, faces and other tables of a model; each is read back and compared row by row before the next is written."""
+    out = {}
+    for name, frame in tables.items():
+        frame.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        back = frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{name}")
+        if frame.exceptAll(back).limit(1).count() or back.exceptAll(frame).limit(1).count():
+            raise ValueError(f"{name} read back differs")
+        out[name] = back.count()
+    return out
+
+
+def viewer_payload(points: DataFrame, columns: list[str], by: str = "slice_index") -> DataFrame:
+    """(by, n, <column>...): a group's values as base64 of little-endian 32-bit floats, in order of cell_id; missing ones are NaN."""
+    schema = f"{by} {points.schema[by].dataType.simpleString()}, n long, " + ", ".join(f"{c} string" for c in columns)
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cell_id")
+        packed = {c: [base64.b64encode(pdf[c].to_numpy("<f4").tobytes()).decode()] for c in columns}
+        return pd.DataFrame({by: [key[0]], "n": [len(pdf)]} | packed)
+
+    ship(points.sparkSession)
+    return points.select(by, "cell_id", *[F.col(c).cast("double").alias(c) for c in columns]).groupBy(by).applyInPandas(one, schema)

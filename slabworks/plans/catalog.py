@@ -167,7 +167,7 @@ def edge_celltype_table(spark, sf_dir):
     p = X.points(spark, sf_dir)
     c = p.groupBy("slice_index", "celltype").agg(F.count("*").alias("n"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
     edges = R.adjacent_edges(p.select("dataset_id", "slice_index").distinct())
-    grid = edges.crossJoin(F.broadcast(p.select("celltype").distinct()))  # edges of a series by its label set, both small
+    grid = edges.crossJoin(p.select("celltype").distinct())  # edges of a series by its label set
     a = c.select(F.col("slice_index").alias("fixed"), "celltype", F.col("n").alias("n1"), F.col("cx").alias("x1"), F.col("cy").alias("y1"))
     b = c.select(F.col("slice_index").alias("moving"), "celltype", F.col("n").alias("n2"), F.col("cx").alias("x2"), F.col("cy").alias("y2"))
     out = grid.join(a, ["fixed", "celltype"], "left").join(b, ["moving", "celltype"], "left")
@@ -703,4 +703,4 @@ def tissue_components(spark, sf_dir):
 
 
 # the other modules register themselves
-from slabworks.plans import alignment, analysis, checks, selection, workflow  # noqa: E402, F401
+from slabworks.plans import alignment, analysis, assembly, checks, selection, workflow  # noqa: E402, F401

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slabworks.operators import continuity, density, resolvers, samples, simulation, statistics, validators, volume, workflow
+from slabworks.operators import assembly, continuity, density, resolvers, samples, simulation, statistics, validators, volume, workflow
 
 
 def test_tier_problems():
@@ -182,3 +182,33 @@ def test_discovery_rates_by_hand(spark):
     x, y = [1.5, 1.5, 3, 4], [1, 2, 3.5, 3.5]
     assert statistics.spearman(tied, ["k"], "x", "y").first().rho == pytest.approx(float(np.corrcoef(x, y)[0, 1]))
     assert statistics.spearman(tied.withColumn("x", F.lit(1.0)), ["k"], "x", "y").first().rho is None
+
+
+def test_settings_round_trip():
+    value = {"a": (1, 2.5, "x"), "b": {"c": {3, 1}, "d": b"\x00\xff"}, "e": [None, True, {"f": float("nan")}]}
+    back = assembly.unpacked_settings(assembly.packed_settings(value))
+    assert back["a"] == value["a"] and back["b"] == value["b"] and back["e"][:2] == value["e"][:2] and back["e"][2]["f"] != back["e"][2]["f"]
+
+
+def test_operations_get_ids_and_order():
+    got = assembly.normalized_operations([{"op": "b", "order": 5}, {"op": "a", "operation_id": "mine"}])
+    assert [(o["operation_id"], o["op"], o["order"]) for o in got] == [("mine", "a", 1), ("op_002", "b", 2)]
+    with pytest.raises(ValueError):
+        assembly.normalized_operations([{"operation_id": "x"}, {"operation_id": "x"}])
+
+
+def test_group_alignment_and_repairs(spark):
+    rng = np.random.default_rng(4)
+    xy = rng.uniform(size=(150, 2)) * [10, 3]
+    rows = [("d", s, 1000 * s + i, *map(float, p + [0.0 if s else 2.0, 0.0]), "k") for s in range(4) for i, p in enumerate(xy)]
+    points = spark.createDataFrame(rows, "dataset_id string, slice_index int, cell_id long, x double, y double, celltype string")
+    fixed, log = assembly.repaired_in_passes(points)
+    assert {r.boundary for r in log.collect() if r.accepted} == {0}
+    assert fixed.groupBy("slice_index").agg(F.round(F.min("x"), 6).alias("m")).select("m").distinct().count() == 1
+    better = assembly.before_and_after(points, fixed).collect()
+    assert {r.boundary: r.improved for r in better} == {0: True, 1: False, 2: False}
+    shifted = spark.createDataFrame([("g", s, float(a + (0.05 if s == "m" else 0)), float(b)) for s in "mf" for a, b in xy], "g string, side string, x double, y double")
+    r = assembly.align_groups(shifted, ["g"]).first()
+    assert r.status == "aligned" and r.tx == pytest.approx(-0.05, abs=1e-6) and r.after < 1e-9 < r.before
+    with pytest.raises(ValueError, match="pairs"):
+        assembly.pair_costs(points, points, 1000)

@@ -65,6 +65,13 @@ class Grid:
             other = who != part[of]
             of, who = of[other], who[other]
         d = ((q[of] - self.points[who]) ** 2).sum(axis=1)
+        if k == 1 and len(of):  # rows come by query already: the least of each, then the first of those at that distance
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            least = np.minimum.reduceat(d, first)
+            ties = d == np.repeat(least, np.diff(first, append=len(of)))
+            who = np.where(ties, who, len(self.points))
+            at[part[of[first]], 0], far[part[of[first]], 0] = np.minimum.reduceat(who, first), np.sqrt(least)
+            return self._settled(q, cell, ring, far[part, 0]) if not whole else np.ones(len(part), bool)
         best = np.lexsort((who, d, of))
         of, who, d = of[best], who[best], d[best]
         start = np.searchsorted(of, np.arange(len(part)))
@@ -75,9 +82,12 @@ class Grid:
         far[part[of[keep]], nth[keep]] = np.sqrt(d[keep])
         if whole:
             return np.ones(len(part), bool)
-        # nothing outside the block is nearer than its edge
+        return self._settled(q, cell, ring, far[part, k - 1])
+
+    def _settled(self, q: np.ndarray, cell: np.ndarray, ring: int, farthest: np.ndarray) -> np.ndarray:
+        """Whether nothing outside the block of cells can be nearer: nothing there is nearer than its edge."""
         edge = np.minimum(q - (self.low + (cell - ring) * self.size), self.low + (cell + ring + 1) * self.size - q).min(axis=1)
-        return far[part, k - 1] < edge
+        return farthest < edge
 
 
 def symmetric_median(a: np.ndarray, b: np.ndarray) -> float:

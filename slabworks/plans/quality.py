@@ -161,6 +161,8 @@ def score_windows(slices: DataFrame, windows: tuple[int, ...] = WINDOWS, continu
     """
     if any(w < 3 or w % 2 == 0 for w in windows):
         raise ValueError("windows are odd and at least three")
+    slices = held(slices)  # a row a slice, read four times: what it is made of is computed once
+    continuity = None if continuity is None else held(continuity)
     both, names = _metric_scores(slices, windows)
     if continuity is not None:
         both = both.join(_continuity(continuity, windows), [*KEYS, "window"], "left")

@@ -2,82 +2,28 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark import SparkContext
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slabworks.session import ship
+from slabworks.session import cleaning, held, run_dir, ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Spark deletes a query's shuffle files when it has ended.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows in a batch that goes to a Python worker, where the session doesn't say otherwise: texts are long.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
 
-_folders: set[str] = set()
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Where that is unset, a local session (tests, a laptop) gets a temporary folder; a cluster has no other folder
-    that all executors see, so that is an error there.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="slabworks-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def run_dir(spark: SparkSession) -> str:
-    """This application's own folder below the shared one; it is removed when the driver's Python ends.
-
-    Not before that: a result may still be computed from its tables, again if an executor is lost.
-    """
-    path = f"{shared_dir(spark)}/slabworks/{spark.sparkContext.applicationId}"
-    if path not in _folders:
-        _folders.add(path)
-        atexit.register(_deleted, path)
-    return path
-
-
-def _deleted(path: str) -> None:
-    jvm = SparkContext._jvm
-    try:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the JVM may have ended before; nothing but disk is at stake
-        pass
-
-
-@contextmanager
-def _cleaning(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors, is computed once."""
-    spark = df.sparkSession
-    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with _cleaning(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: A table written to the shared folder: see ``held``.
+written = held
 
 
 def dropped(table: DataFrame) -> None:
@@ -94,9 +40,33 @@ def packed(df: DataFrame, **added: Column) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` on workers that may not have this package installed."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``df.mapInArrow`` on workers that may not have this package installed.
+
+    A session that has Spark's default batch size gets a smaller one: a batch of whole texts is held several times
+    over, by the task and by its worker.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    name, default, smaller = BATCH_ROWS
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, smaller)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _released()
+
+    return df.mapInArrow(run, schema)
+
+
+def _released() -> None:
+    """Gives memory that a task has freed back to the system: its worker lives on and waits for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
 
 
 @contextmanager
@@ -106,7 +76,7 @@ def bucketed(df: DataFrame, key: str, name: str) -> Iterator[DataFrame]:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = f"{name}_{uuid.uuid4().hex}"
     path = f"{run_dir(spark)}/{own}"
-    with _cleaning(spark):
+    with cleaning(spark):
         df.write.bucketBy(parts, key).sortBy(key).format("parquet").option("path", path).saveAsTable(own)
     try:
         yield spark.table(own)

@@ -26,7 +26,7 @@ UNDETERMINED = "und"
 #: Bytes of a window, without the overlap that lets filters cross into the next one.
 WINDOW = 256
 #: Windows that go through the network at once.
-BATCH = 512
+BATCH = 128
 #: Labelled documents that training may use at most, shared evenly among the languages; all of their windows are used.
 SAMPLE_ROWS = 1200
 #: Score below which the pipeline rejects a document; an even guess among four languages has 0.25.
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tup
             found, scores = [], []
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)
             texts = pc.struct_field(batch.column(inside), name) if inside else batch.column("_text")
-            for lo, hi, data, at in slices(texts.cast(pa.string()), 1 << 19):
+            for lo, hi, data, at in slices(texts.cast(pa.string()), 1 << 17):
                 p = predict_texts(own, data, at) if own else np.zeros((hi - lo, 1))
                 best = p.argmax(axis=1)
                 for i in range(hi - lo):

@@ -22,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slabworks.llm.common import arrow_map, shared_dir, table, written
+from slabworks.llm.common import arrow_map, run_dir, table, written
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Payloads below this many bytes are never revisits.
@@ -286,7 +286,7 @@ def _rows(records) -> pa.RecordBatch:
 
 
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/slabworks/warc-{uuid.uuid4().hex}"
+    folder = f"{run_dir(spark)}/warc-{uuid.uuid4().hex}"
     return read_packages(write_packages(table(spark, sf_dir, "pages"), folder), folder)
 
 

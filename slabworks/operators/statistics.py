@@ -95,7 +95,7 @@ def quartile_text(rows: DataFrame, by: list[str], metrics: list[str]) -> DataFra
     long = rows.select(*by, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(by, metrics, "metric", "value")
     q = F.percentile("value", F.array(lit(0.25), lit(0.5), lit(0.75)))
     out = long.groupBy(*by, "metric").agg(q.alias("q"))
-    n = lambda i: F.format_string("%.1f", F.get("q", F.lit(i)))
+    n = lambda i: F.format_string("%.1f", F.round(F.get("q", F.lit(i)), 1))
     return out.select(*by, "metric", F.when(F.col("q").isNotNull(), F.concat(n(1), F.lit(" ["), n(0), F.lit(", "), n(2), F.lit("]"))).alias("text"))
 
 

@@ -130,7 +130,8 @@ def refine_candidates(rows: DataFrame, label: str, base: tuple[float, float, flo
     is_all, is_own = F.col("label") == "\x00all", F.col("label") == label
     other = ~is_all & ~is_own & (F.col("nf") >= guard) & (F.col("nm") >= guard)
     out = after.groupBy(*keys).agg((-F.max(F.when(is_own, worse))).alias("improvement"), F.max(F.when(is_all, worse)).alias("all_worse"), F.greatest(F.max(F.when(other, worse)), lit(0)).alias("other_worse"))
-    out = out.withColumn("other_worse", F.coalesce("other_worse", lit(0)))
+    # a turn about the label's own centre changes nothing but the last digits
+    out = out.withColumns({"other_worse": F.coalesce("other_worse", lit(0)), "improvement": F.round("improvement", 9) + 0.0})
     out = out.withColumn("rank_score", -F.col("improvement") + F.greatest("all_worse", lit(0)) * ALL_WEIGHT + F.col("other_worse") * OTHER_WEIGHT)
     verdict = F.when(F.col("improvement") <= 0, "reject_no_target_improvement").when((F.col("all_worse") > TOO_WORSE) | (F.col("other_worse") > TOO_WORSE), "review_guardrail_degradation").when(F.col("improvement") > PROMISING, "promising_candidate").otherwise("weak_candidate")
     place = F.row_number().over(Window.orderBy(F.round("rank_score", 9), *keys))  # a grid of fixed size

@@ -72,7 +72,7 @@ def evidence_groups(spark, sf_dir):
     return T.evidence_groups(s).withColumn("percent", r6("percent"))
 
 
-@query("quartile_texts", "WITH q AS (SELECT celltype, 'x' AS metric, quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM points GROUP BY ALL UNION ALL SELECT celltype, 'y', quantile_cont(y, [0.25, 0.5, 0.75]) FROM points GROUP BY ALL) SELECT celltype, metric, printf('%.1f [%.1f, %.1f]', q[2], q[1], q[3]) AS text FROM q", "points")
+@query("quartile_texts", "WITH q AS (SELECT celltype, 'x' AS metric, quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM points GROUP BY ALL UNION ALL SELECT celltype, 'y', quantile_cont(y, [0.25, 0.5, 0.75]) FROM points GROUP BY ALL) SELECT celltype, metric, printf('%.1f [%.1f, %.1f]', round(q[2], 1), round(q[1], 1), round(q[3], 1)) AS text FROM q", "points")
 def quartile_texts(spark, sf_dir):
     return T.quartile_text(X.points(spark, sf_dir), ["celltype"], ["x", "y"])
 

@@ -76,9 +76,9 @@ _EDGE = "ed AS (SELECT CASE WHEN slice_index = 6 THEN 'f' ELSE 'm' END AS side,
     r AS (SELECT u.degrees, u.dx, u.dy, u.label, u.side, any_value(n) AS n, any_value(mx) AS mx, any_value(my) AS my, median(sqrt((x - mx) ** 2 + (y - my) ** 2)) AS r FROM u JOIN m ON u.degrees IS NOT DISTINCT FROM m.degrees AND u.dx IS NOT DISTINCT FROM m.dx AND u.dy IS NOT DISTINCT FROM m.dy AND u.label = m.label AND u.side = m.side GROUP BY ALL),
     j AS (SELECT f.degrees, f.dx, f.dy, f.label, least(f.n, m.n) AS n, sqrt((f.mx - m.mx) ** 2 + (f.my - m.my) ** 2) / ((f.r + m.r) / 2) AS jump FROM r f JOIN r m ON f.degrees IS NOT DISTINCT FROM m.degrees AND f.dx IS NOT DISTINCT FROM m.dx AND f.dy IS NOT DISTINCT FROM m.dy AND f.label = m.label WHERE f.side = 'f' AND m.side = 'm'),
     w AS (SELECT a.degrees, a.dx, a.dy, a.label, a.n, a.jump - b.jump AS worse FROM j a JOIN j b ON a.label = b.label AND b.degrees IS NULL WHERE a.degrees IS NOT NULL),
-    s AS (SELECT degrees, dx, dy, -max(worse) FILTER (label = 'click') AS improvement, max(worse) FILTER (label = 'all') AS all_worse, greatest(coalesce(max(worse) FILTER (label NOT IN ('all', 'click') AND n >= 30), 0), 0) AS other_worse FROM w GROUP BY ALL),
+    s AS (SELECT degrees, dx, dy, round(-max(worse) FILTER (label = 'click'), 9) + 0.0 AS improvement, max(worse) FILTER (label = 'all') AS all_worse, greatest(coalesce(max(worse) FILTER (label NOT IN ('all', 'click') AND n >= 30), 0), 0) AS other_worse FROM w GROUP BY ALL),
     k AS (SELECT *, -improvement + 0.5 * greatest(all_worse, 0) + 1.5 * other_worse AS rank_score FROM s)
-    SELECT degrees, dx, dy, round(improvement, 6) AS improvement, round(all_worse, 6) AS all_worse, round(other_worse, 6) AS other_worse, round(rank_score, 6) AS rank_score,
+    SELECT degrees, dx, dy, round(improvement, 6) + 0.0 AS improvement, round(all_worse, 6) + 0.0 AS all_worse, round(other_worse, 6) + 0.0 AS other_worse, round(rank_score, 6) + 0.0 AS rank_score,
         CASE WHEN improvement <= 0 THEN 'reject_no_target_improvement' WHEN all_worse > 1 OR other_worse > 1 THEN 'review_guardrail_degradation' WHEN improvement > 0.75 THEN 'promising_candidate' ELSE 'weak_candidate' END AS verdict,
         CAST(row_number() OVER (ORDER BY round(rank_score, 9), degrees, dx, dy) AS INTEGER) AS place FROM k QUALIFY place <= 20""",
     "points",
@@ -86,7 +86,7 @@ _EDGE = "ed AS (SELECT CASE WHEN slice_index = 6 THEN 'f' ELSE 'm' END AS side,
 def refine_candidates(spark, sf_dir):
     rows = X.points(spark, sf_dir).where("slice_index in (6, 7)").select(F.when(F.col("slice_index") == 6, "f").otherwise("m").alias("side"), "cell_id", "x", "y", F.col("celltype").alias("label"))
     out = K.refine_candidates(rows, "click", shifts=(-15.0, 0.0, 15.0))
-    return out.select("degrees", "dx", "dy", *[r6(c).alias(c) for c in ("improvement", "all_worse", "other_worse", "rank_score")], "verdict", "place")
+    return out.select("degrees", "dx", "dy", *[(r6(c) + 0.0).alias(c) for c in ("improvement", "all_worse", "other_worse", "rank_score")], "verdict", "place")
 
 
 @query("initial_plan", "WITH s AS (SELECT DISTINCT dataset_id, slice_index FROM points), t AS (SELECT dataset_id, slice_index AS fixed, lead(slice_index) OVER w AS moving, row_number() OVER w AS edge_order FROM s WINDOW w AS (PARTITION BY dataset_id ORDER BY slice_index)) SELECT dataset_id, CAST(fixed AS INTEGER) AS fixed, CAST(moving AS INTEGER) AS moving, CAST(edge_order AS INTEGER) AS edge_order, 'SL' || lpad(fixed::VARCHAR, 3, '0') || '__SL' || lpad(moving::VARCHAR, 3, '0') AS edge_id FROM t WHERE moving IS NOT NULL", "points")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slabworks.functions.columns import EPS
 from slabworks.operators.morphology import label_cells
-from slabworks.session import ship
+from slabworks.session import ship, spread
 
 # Grid of the comparison, margin, what counts as dense and as thin.
 GRID, MARGIN, DENSE, THIN, LEAST_CELLS = (42, 32), 0.035, 0.58, 0.48, 3
@@ -36,7 +36,7 @@ def point_densities(points: DataFrame, bandwidth: float) -> DataFrame:
 
     ship(points.sparkSession)
     p = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), F.col("cell_id").cast("long").alias("cell_id"), "x", "y")
-    return p.groupBy("dataset_id", "slice_index").applyInPandas(one, schema)
+    return spread(p, "dataset_id", "slice_index").groupBy("dataset_id", "slice_index").applyInPandas(one, schema)
 
 
 def largest_deficit(focal: np.ndarray, others: list[np.ndarray], bandwidth: float) -> dict | None:
@@ -81,4 +81,4 @@ def density_deficits(points: DataFrame, bandwidth: float, half: int = 2) -> Data
     s = s.withColumn("place", F.row_number().over(Window.partitionBy("dataset_id").orderBy("slice_index")))
     p = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), "x", "y").join(s, ["dataset_id", "slice_index"])
     p = p.withColumn("focal", F.explode(F.sequence(F.col("place") - half, F.col("place") + half))).join(s.select("dataset_id", F.col("place").alias("focal")), ["dataset_id", "focal"], "left_semi")
-    return p.groupBy("dataset_id", "focal").applyInPandas(one, schema)
+    return spread(p, "dataset_id", "focal").groupBy("dataset_id", "focal").applyInPandas(one, schema)

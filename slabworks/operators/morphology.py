@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slabworks.functions.columns import EPS
 from slabworks.operators.nearness import Grid
-from slabworks.session import ship
+from slabworks.session import ship, spread
 
 
 def hull_area(xy: np.ndarray) -> float | None:
@@ -185,7 +185,7 @@ def slice_geometry(points: DataFrame) -> DataFrame:
     ship(points.sparkSession)
     sent = ["x", "y"] + (["total_counts"] if counted else [])
     rows = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), *sent)
-    return rows.groupBy("dataset_id", "slice_index").applyInPandas(one, GEOMETRY)
+    return spread(rows, "dataset_id", "slice_index").groupBy("dataset_id", "slice_index").applyInPandas(one, GEOMETRY)
 
 
 #: Genes that principal components are taken of, at most: their Gram matrix is held by a task and by the driver.

@@ -165,14 +165,15 @@ def sorted_id_digest(rows: DataFrame, by: list[str], key: str) -> DataFrame:
 def adaptive_number(x: Column) -> Column:
     """A number as short text: none for a missing one, thousands whole, others with three significant places or so."""
     size = F.abs(x)
-    return F.when(x.isNull(), "none").when(size >= 1000, F.format_string("%,.0f", x)).when(size >= 10, F.format_string("%.1f", x)).when(size >= 0.01, F.format_string("%.3f", x)).when(size == 0, "0").otherwise(F.format_string("%.2e", x))
+    text = lambda form, places: F.format_string(form, F.round(x, places))  # noqa: E731  ties go away from zero
+    return F.when(x.isNull(), "none").when(size >= 1000, text("%,.0f", 0)).when(size >= 10, text("%.1f", 1)).when(size >= 0.01, text("%.3f", 3)).when(size == 0, "0").otherwise(F.format_string("%.2e", x))
 
 
 def evidence_text(metric: Column, value: Column, expected: Column) -> Column:
     """One sentence on how a slice's metric compares with what its neighbours let expect."""
     change = (value - expected) / F.greatest(F.abs(expected), lit(2.220446049250313e-16)) * 100
     way = F.when(value < expected, "below").otherwise("above")
-    return F.when(expected.isNull() | value.isNull(), F.concat(metric, F.lit(": no comparison"))).otherwise(F.concat(metric, F.lit(" is "), adaptive_number(value), F.lit(", "), F.format_string("%.0f", F.abs(change)), F.lit("% "), way, F.lit(" "), adaptive_number(expected)))
+    return F.when(expected.isNull() | value.isNull(), F.concat(metric, F.lit(": no comparison"))).otherwise(F.concat(metric, F.lit(" is "), adaptive_number(value), F.lit(", "), F.format_string("%.0f", F.round(F.abs(change))), F.lit("% "), way, F.lit(" "), adaptive_number(expected)))
 
 
 def palette(labels: DataFrame, label: str, given: dict[str, str]) -> DataFrame:

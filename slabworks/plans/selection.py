@@ -147,8 +147,8 @@ def id_digests(spark, sf_dir):
 @query(
     "evidence_texts",
     """WITH e AS (SELECT slice_index, median(x) AS v, lag(median(x)) OVER (ORDER BY slice_index) AS e FROM points GROUP BY slice_index),
-    f AS (SELECT *, CASE WHEN abs(v) >= 1000 THEN format('{:,.0f}', v) WHEN abs(v) >= 10 THEN printf('%.1f', v) ELSE printf('%.3f', v) END AS tv, CASE WHEN abs(e) >= 1000 THEN format('{:,.0f}', e) WHEN abs(e) >= 10 THEN printf('%.1f', e) ELSE printf('%.3f', e) END AS te FROM e)
-    SELECT CAST(slice_index AS INTEGER) AS slice_index, CASE WHEN e IS NULL THEN 'counts: no comparison' ELSE 'counts is ' || tv || ', ' || printf('%.0f', abs((v - e) / abs(e) * 100)) || '% ' || CASE WHEN v < e THEN 'below' ELSE 'above' END || ' ' || te END AS text FROM f""",
+    f AS (SELECT *, CASE WHEN abs(v) >= 1000 THEN format('{:,.0f}', round(v, 0)) WHEN abs(v) >= 10 THEN printf('%.1f', round(v, 1)) ELSE printf('%.3f', round(v, 3)) END AS tv, CASE WHEN abs(e) >= 1000 THEN format('{:,.0f}', round(e, 0)) WHEN abs(e) >= 10 THEN printf('%.1f', round(e, 1)) ELSE printf('%.3f', round(e, 3)) END AS te FROM e)
+    SELECT CAST(slice_index AS INTEGER) AS slice_index, CASE WHEN e IS NULL THEN 'counts: no comparison' ELSE 'counts is ' || tv || ', ' || printf('%.0f', round(abs((v - e) / abs(e) * 100), 0)) || '% ' || CASE WHEN v < e THEN 'below' ELSE 'above' END || ' ' || te END AS text FROM f""",
     "points",
 )
 def evidence_texts(spark, sf_dir):

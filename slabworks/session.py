@@ -101,3 +101,12 @@ def held(frame: DataFrame, name: str = "held") -> DataFrame:
     with cleaning(spark):
         frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """``frame`` dealt by keys to as many tasks as the session shuffles to, however small it is.
+
+    Left to itself Spark puts small shuffles together by their bytes; groups that are heavy to work on stay apart here.
+    """
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(parts, *keys)

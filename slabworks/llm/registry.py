@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slabworks.llm import bpe, chat, decontam, langid, neardup, quality, secrets, sharding, suffixdup, warczip
+from slabworks.llm import annforest, bpe, chat, decontam, langid, neardup, quality, secrets, sharding, suffixdup, warczip
 
-_MODULES = (langid, chat, suffixdup, quality, sharding, decontam, secrets, neardup, warczip, bpe)
+_MODULES = (langid, chat, suffixdup, quality, sharding, decontam, secrets, neardup, warczip, bpe, annforest)
 
 
 def queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from slabworks.llm import annforest, bpe, chat, decontam, langid, neardup, quality, ranking, secrets, sharding, suffixdup, warczip
+from slabworks.llm import annforest, bpe, chat, decontam, langid, neardup, prefixtrie, quality, ranking, secrets, sharding, suffixdup, warczip
 
-_MODULES = (langid, chat, suffixdup, quality, sharding, decontam, secrets, neardup, warczip, bpe, annforest, ranking)
+_MODULES = (langid, chat, suffixdup, quality, sharding, decontam, secrets, neardup, warczip, bpe, annforest, ranking, prefixtrie)
 
 
 def queries() -> dict:

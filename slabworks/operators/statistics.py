@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slabworks.functions.columns import lit
+from slabworks.operators.relational import numbered
 
 #: Groups of evidence that an exclusion is reported under: fixed values.
 EVIDENCE_GROUPS = {
@@ -18,27 +19,37 @@ EVIDENCE_GROUPS = {
 }
 
 
+#: Rows of a stretch of a ranking that one task goes through in order.
+STRETCH = 65_536
+
+
 def benjamini_hochberg(tests: DataFrame, family: list[str], p: str = "p", key: str = "gene") -> DataFrame:
-    """Adds q: the false discovery rate at which a test would be called, within its family; missing p values count as 1."""
+    """Adds q: the false discovery rate at which a test would be called, within its family; missing p values count as 1.
+
+    Tests are ranked over all tasks, and the least value from a test on is that of its stretch and of the later ones:
+    a family of any size is never brought to one task.  No family columns: all tests are one.
+    """
     value = F.coalesce(F.col(p), lit(1))
-    w = Window.partitionBy(*family)
-    rank = F.row_number().over(w.orderBy(value, key))
-    out = tests.withColumn("_q", value * F.count("*").over(w) / rank)
-    falling = w.orderBy(value.desc(), F.desc(key)).rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumn("q", F.least(lit(1), F.min("_q").over(falling))).drop("_q")
+    placed = numbered(tests.withColumn("_p", value), [*family, "_p", key], "_i")
+    sizes = placed.groupBy(*family).agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
+    placed = placed.join(sizes, family) if family else placed.crossJoin(F.broadcast(sizes))  # one row
+    placed = placed.withColumn("_q", F.col("_p") * F.col("_n") / (F.col("_i") - F.col("_first") + 1)).withColumn("_s", F.floor(F.col("_i") / STRETCH))
+    later = Window.partitionBy(*family).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)  # a row a stretch
+    beyond = placed.groupBy(*family, "_s").agg(F.min("_q").alias("_m")).select(*family, "_s", F.min("_m").over(later).alias("_later"))
+    own = Window.partitionBy(*family, "_s").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumn("_own", F.min("_q").over(own)).join(beyond, [*family, "_s"])
+    return out.withColumn("q", F.least(lit(1), "_own", "_later")).select(*tests.columns, "q")
 
 
 def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
-    """(by, n, rho): correlation of average ranks; NULL where either doesn't vary."""
-
-    def ranked(c: str) -> Column:
-        w = Window.partitionBy(*by)
-        return F.rank().over(w.orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2
-
-    known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    r = known.withColumn("_x", ranked(x)).withColumn("_y", ranked(y))
-    rho = F.try_divide(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
-    return r.groupBy(*by).agg(F.count("*").alias("n"), rho.alias("rho"))
+    """(by, n, rho): correlation of average ranks; NULL where either doesn't vary.  Ranks are places over all tasks."""
+    known = rows.select(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).where("_x is not null and _y is not null")
+    for c in ("_x", "_y"):
+        placed = numbered(known, [*by, c], "_i")
+        ranks = placed.groupBy(*by, c).agg((F.min("_i") + (F.count("*") - 1) / 2).alias(f"_rank{c}"))
+        known = placed.drop("_i").join(ranks, [*by, c])  # a group's first place changes no correlation
+    rho = F.try_divide(F.covar_pop("_rank_x", "_rank_y"), F.stddev_pop("_rank_x") * F.stddev_pop("_rank_y"))
+    return known.groupBy(*by).agg(F.count("*").alias("n"), rho.alias("rho"))
 
 
 def field_report(rows: DataFrame, raw: str, fitted: str) -> DataFrame:

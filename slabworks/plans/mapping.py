@@ -1,10 +1,12 @@
-"""Queries of transport between neighbouring slices, surfaces and what they contain."""
+"""Queries of transport between neighbouring slices, surfaces and what they contain, fields of displacement, and trends of counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from slabworks.operators import field as L
 from slabworks.operators import surface as U
+from slabworks.operators import trends as D
 from slabworks.operators import transport as O
 from slabworks.operators import volume as V
 from slabworks.operators.validators import unfolded
@@ -116,3 +118,63 @@ def surface_report(spark, sf_dir):
 )
 def points_inside_surface(spark, sf_dir):
     return U.containment(X.cells(spark, sf_dir), held(surfaces(spark, sf_dir)), SIZE, ["celltype"]).select("celltype", "cell_id", "inside")
+
+
+#: Coefficients of each gene after so many rounds of Fisher scoring, three normal equations solved by Cramer's rule.
+_TRENDS = """RECURSIVE c AS (SELECT user_id AS cell_id, avg(value) AS x FROM events GROUP BY ALL), y AS (SELECT user_id AS cell_id, event_type AS gene, count(*)::DOUBLE AS y FROM events GROUP BY ALL),
+    q AS (SELECT min(x) AS lo, median(x) AS mid, max(x) AS hi FROM (SELECT DISTINCT x FROM c)), t AS (SELECT cell_id, (x - lo) / (hi - lo) AS t, (mid - lo) / (hi - lo) AS k FROM c, q),
+    g AS (SELECT DISTINCT gene FROM y), d AS (SELECT gene, t AS a, t ** 3 - greatest(t - k, 0) ** 3 / (1 - k) AS b, coalesce(y, 0) AS y FROM t CROSS JOIN g LEFT JOIN y USING (cell_id, gene)),
+    it(r, gene, b0, b1, b2) AS (
+        SELECT 0, gene, ln(avg(y)), 0::DOUBLE, 0::DOUBLE FROM d GROUP BY gene
+        UNION ALL
+        SELECT r + 1, gene, b0 + (s0 * (m11 * m22 - m12 * m12) - m01 * (s1 * m22 - m12 * s2) + m02 * (s1 * m12 - m11 * s2)) / det, b1 + (m00 * (s1 * m22 - m12 * s2) - s0 * (m01 * m22 - m12 * m02) + m02 * (m01 * s2 - s1 * m02)) / det, b2 + (m00 * (m11 * s2 - s1 * m12) - m01 * (m01 * s2 - s1 * m02) + s0 * (m01 * m12 - m11 * m02)) / det
+        FROM (SELECT *, m00 * (m11 * m22 - m12 * m12) - m01 * (m01 * m22 - m12 * m02) + m02 * (m01 * m12 - m11 * m02) AS det FROM (
+            SELECT r, gene, b0, b1, b2, sum(w) AS m00, sum(w * a) AS m01, sum(w * b) AS m02, sum(w * a * a) AS m11, sum(w * a * b) AS m12, sum(w * b * b) AS m22, sum(s) AS s0, sum(s * a) AS s1, sum(s * b) AS s2
+            FROM (SELECT r, gene, b0, b1, b2, a, b, m / (1 + m) AS w, (y - m) / (1 + m) AS s FROM (SELECT it.*, d.a, d.b, d.y, exp(b0 + b1 * a + b2 * b) AS m FROM it JOIN d USING (gene) WHERE r < 25)) GROUP BY r, gene, b0, b1, b2))
+    ), e AS (SELECT gene, sum(y * h - (y + 1) * ln(1 + exp(h))) AS llf, sum(y * n - (y + 1) * ln(1 + exp(n))) AS null_llf, count(*) FILTER (y > 0) AS cells FROM (SELECT gene, y, b0 + b1 * a + b2 * b AS h, ln(avg(y) OVER (PARTITION BY gene)) AS n FROM it JOIN d USING (gene) WHERE r = 25) GROUP BY gene),
+    p AS (SELECT *, greatest(0, 2 * (llf - null_llf)) AS ratio, exp(-greatest(0, 2 * (llf - null_llf)) / 2) AS p FROM e), z AS (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, gene) AS z FROM p)"""
+
+
+def cell_feature(spark, sf_dir):
+    return X.read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("cell_id")).agg(F.avg("value").alias("x"))
+
+
+@query("expression_trends", f"WITH {_TRENDS} SELECT gene, 'ok' AS status, cells, round(llf, 4) AS llf_full, round(null_llf, 4) AS llf_null, round(ratio, 4) AS ratio, round(p, 5) AS p, round(least(1, min(z) OVER (ORDER BY p DESC, gene DESC ROWS UNBOUNDED PRECEDING)), 5) AS q FROM z")
+def expression_trends(spark, sf_dir):
+    out = D.spline_trends(cell_feature(spark, sf_dir), X.expression(spark, sf_dir), "x")
+    return out.select("gene", "status", "cells", *[F.round(c, 4).alias(c) for c in ("llf_full", "llf_null", "ratio")], *[F.round(c, 5).alias(c) for c in ("p", "q")])
+
+
+def displacements(spark, sf_dir):
+    """Each point and where the plan of its slice's pair moves it by."""
+    moved = O.mapped(stage_pairs(spark, sf_dir), ["boundary"], ["x", "y", "z"]).select("cell_id", "x_to", "y_to", "z_to")
+    return X.cells(spark, sf_dir).join(moved, "cell_id").select("cell_id", "celltype", "x", "y", "z", *[(F.col(f"{a}_to") - F.col(a)).alias(f"d{a}") for a in "xyz"])
+
+
+_AXES, _VECTORS = ["x", "y", "z"], ["dx", "dy", "dz"]
+#: Displacements of unrelated slices scatter: outliers are looked for far beyond them only.
+_FIELD = L.FieldFit(outliers=200.0, smoothing=0.1)
+
+
+@query("displacement_field")
+def displacement_field(spark, sf_dir):
+    """The smooth field of all displacements and its derivatives at every point."""
+    d = held(displacements(spark, sf_dir))
+    out = L.field_values(d, L.fit_field(d, _AXES, _VECTORS, _FIELD))
+    return out.select("cell_id", *[F.round(c, 5).alias(c) for c in ("v_x", "v_y", "v_z", "speed", "divergence", "jacobian_norm")])
+
+
+@query("field_paths")
+def field_paths(spark, sf_dir):
+    """Where every point is after following the field for one and two units of time."""
+    d = held(displacements(spark, sf_dir))
+    out = L.paths(d, L.fit_field(d, _AXES, _VECTORS, _FIELD), 2.0, 20, every=10)
+    return out.select("cell_id", "step", "t", *[F.round(a, 5).alias(a) for a in _AXES])
+
+
+@query("interpolated_speed")
+def interpolated_speed(spark, sf_dir):
+    """How far each point moves, smoothed over space by a process on inducing points."""
+    d = held(displacements(spark, sf_dir).withColumn("moved", F.sqrt(sum((F.col(v) * F.col(v) for v in _VECTORS), F.lit(0.0)))))
+    g = L.fit_interpolation(d, _AXES, ["moved"], L.Interpolation(inducing=64))
+    return L.interpolated(d.select("cell_id", *_AXES, "moved"), g).select("cell_id", F.round("moved", 5).alias("moved"), F.round("moved_smooth", 5).alias("smooth"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slabworks.llm.common import table
+from slabworks.llm.common import let, table
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -82,21 +82,28 @@ def rendered_turn(role: Column, text: Column) -> Column:
     return F.coalesce(*forms, F.raise_error(F.lit("a turn can't be read back at any level")).cast("string"))
 
 
-def loss_spans(turns: Column, role: str = "assistant") -> Column:
-    """struct(start, end, level) of each text of ``role`` in the formatted text: code points from 0, end exclusive."""
-    kind = "array<struct<start:bigint,end:bigint,level:int>>"
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("array()").cast(kind).alias("spans"))
+def loss_spans(turns: Column, starts: Column, role: str = "assistant") -> Column:
+    """struct(start, end, level, turn) of each text of ``role`` in the formatted text: code points from 0, end exclusive, and the turn's place.
 
-    def step(acc: Column, t: Column) -> Column:
-        first = acc.at + len(START) + t.body_at
-        one = F.array(F.struct(first.cast("bigint").alias("start"), (first + t.body_chars).cast("bigint").alias("end"), t.level.alias("level")))
-        return F.struct((acc.at + len(START) + t.piece_chars).cast("bigint").alias("at"), F.when(t.role == role, F.concat(acc.spans, one)).otherwise(acc.spans).alias("spans"))
+    ``starts`` has where each turn begins, so that every turn is looked at once.
+    """
+
+    def span(t: Column, at: Column) -> Column:
+        first = at + len(START) + t.body_at
+        return F.struct(first.cast("bigint").alias("start"), (first + t.body_chars).cast("bigint").alias("end"), t.level.alias("level"), t.role.alias("role"), t.body_at.alias("body_at"))
+
+    numbered = F.transform(F.zip_with(turns, starts, span), lambda s, i: F.struct(s.start.alias("start"), s.end.alias("end"), s.level.alias("level"), i.alias("turn"), s.body_at.alias("body_at"), s.role.alias("role")))
+    return F.transform(F.filter(numbered, lambda s: s.role == role), lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), s.level.alias("level"), s.turn.alias("turn"), s.body_at.alias("body_at")))
 
-    return F.aggregate(turns, zero, step, lambda acc: acc.spans)
+
+def under_mask(formatted: Column, loss: Column) -> Column:
+    """The texts under the mask, unescaped, cut from the pieces of the formatted text."""
+    pieces = F.split(formatted, r"<\|im_start\|>", -1)
+    return let(pieces, lambda p: F.transform(loss, lambda s: unescape(F.substring(F.get(p, s.turn + 1), s.body_at + 1, (s.end - s.start).cast("int")), s.level)))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """One row a conversation: conv_id, formatted, turns (as parsed from it) and loss (spans of assistant texts).
+    """One row a conversation: conv_id, formatted, turns (as parsed from it) and loss (spans of assistant texts, see ``loss_spans``).
 
     Turns are ordered by turn, then role and text; a null turn comes first.  A null role or text is an empty one,
     rows with a null conv_id form a conversation of their own, and repeated rows are repeated turns.  Columns other
@@ -106,12 +113,14 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     turns = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"))
     turns = turns.withColumn("form", rendered_turn(F.col("role"), F.col("text")))
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "form"))).alias("source"))
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("at", F.coalesce(F.sum(F.length("form")).over(before), F.lit(0)))
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "form", "at"))).alias("source"))
     whole = whole.withColumn("formatted", F.array_join(F.col("source.form"), ""))
     whole = whole.withColumn("turns", parse(F.col("formatted")))
     same = (F.col("turns.role") == F.col("source.role")) & (F.col("turns.text") == F.col("source.text"))
     checked = F.when(F.coalesce(same, F.lit(False)), F.col("formatted")).otherwise(F.raise_error(F.lit("a conversation can't be read back")).cast("string"))
-    return whole.select("conv_id", checked.alias("formatted"), "turns", loss_spans(F.col("turns")).alias("loss"))
+    return whole.select("conv_id", checked.alias("formatted"), "turns", loss_spans(F.col("turns"), F.col("source.at")).alias("loss"))
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +131,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = format_conversations(rows.unionByName(extra))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
-    under = F.array_join(F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), (s.start + 1).cast("int"), (s.end - s.start).cast("int")), s.level)), "")
+    under = F.array_join(under_mask(F.col("formatted"), F.col("loss")), "")
     return out.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -44,3 +44,17 @@ def test_empty_table_and_contract(spark):
     text = "<|im_end|><|im_start|>assistant ok"
     assert r.n_turns == 2 and r.loss_chars == len(text) and r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_long_conversations_take_time_in_proportion(spark):
+    from time import time
+
+    took = []
+    for n in (500, 10_000, 40_000):
+        rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é %25 "), F.col("id").cast("string")).alias("text"))
+        began = time()
+        r = chat.format_conversations(rows).select(F.size("loss").alias("n"), F.element_at("loss", -1).alias("last"), chat.under_mask(F.col("formatted"), F.col("loss")).alias("under"), "formatted").first()
+        took.append(time() - began)
+        assert r.n == n // 2 and r.under == [f"é %25 {i}" for i in range(1, n, 2)]
+        assert r.formatted[r.last.start : r.last.end] == f"é %25 {n - 1}"
+    assert took[2] < 8 * took[1] + 2

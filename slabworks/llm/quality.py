@@ -159,20 +159,27 @@ class Ratio:
         if self.table is None or len(data) < ORDER:
             return np.zeros(len(at) - 1)
         bucket, inside = ngrams(data, at)
-        total = np.zeros(len(data) + 1)
-        total[1 : len(bucket) + 1] = np.where(inside, self.table[bucket], 0.0)
-        np.cumsum(total, out=total)
-        total[len(bucket) + 1 :] = total[len(bucket)]
-        return (total[at[1:]] - total[at[:-1]]) / np.maximum(np.diff(at) - ORDER + 1, 1)
+        each = np.zeros(len(data))
+        each[: len(bucket)] = np.where(inside, self.table[bucket], 0.0)
+        # a sum of each text's own, so that a score doesn't hang on what else is in the slice; an empty text has none
+        some = np.flatnonzero(np.diff(at) > 0)
+        total = np.zeros(len(at) - 1)
+        total[some] = np.add.reduceat(each, at[some]) if len(some) else 0.0
+        return np.round(total / np.maximum(np.diff(at) - ORDER + 1, 1), 9)
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents labelled as good and not as toxic, by a join that shuffles at every size (labels grow with the corpus)."""
+    """Documents labelled as good and not as toxic, by a join that shuffles at every size (labels grow with the corpus).
+
+    A null toxic label counts as none; rows with a null quality or doc_id trust nothing.  A document is trusted if any of its
+    labels says so and stands there once however often it is labelled; repeated documents are each trusted.
+    """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
     return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Ratio:
+    """The ratio of the two tables' n-gram counts; null and short texts have none, repeated rows count each time."""
     return Ratio.of(bucket_counts(target), bucket_counts(docs))
 
 

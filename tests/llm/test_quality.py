@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from slabworks.llm import quality, textkit
+from slabworks.llm import textkit as K
 from slabworks.llm.textkit import utf8
 from tests.conftest import SF
 from tests.llm.collisions import thue_morse
@@ -89,3 +90,13 @@ def test_counts_are_exact_whatever_the_hash(monkeypatch):
 
 def test_sql_agrees(spark):
     assert compare(quality.op4_quality(spark, SF), quality.OP4_SQL, SF) == 200
+
+
+def test_a_score_is_the_texts_own():
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcdef gh"), size=rng.integers(0, 90))) for _ in range(200)] + ["", "abc", "abcd", "", "x" * 5000]
+    ratio = quality.Ratio(rng.normal(size=quality.BUCKETS))
+    col = pa.array(texts)
+    alone = [ratio.scores(data, at)[0] for _, _, data, at in K.slices(col, 1)]
+    for limit in (7, 300, 1 << 19):
+        assert np.concatenate([ratio.scores(data, at) for _, _, data, at in K.slices(col, limit)]).tolist() == alone

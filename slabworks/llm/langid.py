@@ -128,24 +128,27 @@ class ByteNet:
         return self
 
 
-def windows(data: np.ndarray, at: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window arrays of all texts (zeros after a text's end), their documents and their bytes."""
-    sizes = np.diff(at)
-    n = -(-sizes // WINDOW)
-    doc = np.repeat(np.arange(len(sizes)), n)
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-    start = at[doc] + nth * WINDOW
-    spots = start[:, None] + np.arange(reach)
-    inside = spots < at[doc + 1][:, None]
-    x = np.where(inside, data[np.minimum(spots, max(len(data) - 1, 0))], 0) if len(data) else np.zeros((0, reach), np.uint8)
-    return x.astype(np.uint8), doc, np.minimum(WINDOW, at[doc + 1] - start)
+#: Windows that are cut at once.
+BLOCK = 4_096
+
+
+def windows(data: np.ndarray, at: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Window arrays of all texts (zeros after a text's end), their documents and their bytes, a block of windows at a time."""
+    first = np.concatenate([[0], np.cumsum(-(-np.diff(at) // WINDOW))])
+    for i in range(0, int(first[-1]), BLOCK):
+        w = np.arange(i, min(i + BLOCK, int(first[-1])))
+        doc = np.searchsorted(first, w, side="right") - 1
+        start, end = at[doc] + (w - first[doc]) * WINDOW, at[doc + 1]
+        spots = start[:, None] + np.arange(reach)
+        x = np.where(spots < end[:, None], data[np.minimum(spots, len(data) - 1)], 0)
+        yield x.astype(np.uint8), doc, np.minimum(WINDOW, end - start)
 
 
 def predict_texts(net: ByteNet, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Mean language probabilities of each text; zeros for an empty one."""
     total = np.zeros((len(at) - 1, len(net.languages)))
-    x, doc, weight = windows(data, at, net.reach)
-    np.add.at(total, doc, net.probabilities(x) * weight[:, None])
+    for x, doc, weight in windows(data, at, net.reach):
+        np.add.at(total, doc, net.probabilities(x) * weight[:, None])
     return total / np.maximum(np.diff(at), 1)[:, None]
 
 
@@ -189,9 +192,11 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, shape: Shape = Shape()) -> B
     net = ByteNet(sorted({lang for lang, _ in got}), shape)
     texts = [text.encode() for _, text in got]
     at = np.cumsum([0, *map(len, texts)])
-    x, doc, _ = windows(np.frombuffer(b"".join(texts), np.uint8), at, net.reach)
-    y = np.array([net.languages.index(lang) for lang, _ in got], dtype=np.int64)[doc]
-    return net.train(x, y) if len(x) else None
+    cut = list(windows(np.frombuffer(b"".join(texts), np.uint8), at, net.reach))
+    if not cut:
+        return None
+    y = np.array([net.languages.index(lang) for lang, _ in got], dtype=np.int64)[np.concatenate([doc for _, doc, _ in cut])]
+    return net.train(np.concatenate([x for x, _, _ in cut]), y)
 
 
 def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

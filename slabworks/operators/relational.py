@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slabworks.functions.columns import hash_rank
+from slabworks.operators.neighbours import nearest, nearest_between  # noqa: F401  joins too
 from slabworks.session import held
 
 
@@ -54,51 +55,6 @@ def radius_pairs(points: DataFrame, radius: float, within: list[str]) -> DataFra
     return a.join(b, [*within, "gx", "gy"]).withColumn("d2", d2).where((F.col("a") < F.col("b")) & (F.col("d2") <= radius * radius)).select(*within, "a", "b", "d2")
 
 
-def nearest_between(probes: DataFrame, targets: DataFrame, k: int, within: list[str], own: bool = False) -> DataFrame:
-    """(within, cell_id, other, rank, d2): the k nearest targets of each probe in the same group, ties by id; all, if there are fewer.
-
-    Both tables have the group's columns, cell_id, x and y; ``own``: a point is not its own neighbour.  A probe looks
-    in the nine grid cells around it.  The cells are sized for about k targets each; probes that find too few within a
-    cell's width go on to cells four times as wide, until the group as a whole has been seen, so the answer is exact.
-    """
-    box = targets.groupBy(*within).agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    side, long_side = F.col("x1") - F.col("x0"), F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    area = F.greatest(side * (F.col("y1") - F.col("y0")), long_side * long_side / F.col("n"))
-    first = F.greatest(F.sqrt(area * (k + 1) / F.col("n")), long_side * 1e-6, F.lit(1e-12))
-    box = held(box.select(*within, "x0", "y0", "x1", "y1", first.alias("first")))
-    t = targets.select(*within, F.col("cell_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy")).where("ox is not null and oy is not null")
-    open_ = probes.select(*within, "cell_id", "x", "y").where("x is not null and y is not null").join(box.select(*within), within, "left_semi")
-    found, scale = [], 1.0
-    while True:
-        size = box.select(*within, "x0", "y0", "x1", "y1", (F.col("first") * scale).alias("r"))
-        cell = lambda c, lo: F.floor((F.col(c) - F.col(lo)) / F.col("r"))
-        around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        a = open_.join(size, within).withColumn("o", F.explode(around))
-        # a probe from which the whole group is within reach has seen all of it
-        reach = F.greatest(F.abs(F.col("x") - F.col("x0")), F.abs(F.col("x") - F.col("x1")), F.abs(F.col("y") - F.col("y0")), F.abs(F.col("y") - F.col("y1"))) <= F.col("r")
-        a = a.select(*within, "cell_id", "x", "y", F.col("r"), reach.alias("whole"), (cell("x", "x0") + F.col("o.i")).alias("gx"), (cell("y", "y0") + F.col("o.j")).alias("gy"))
-        b = t.join(size, within).select(*within, "other", "ox", "oy", cell("ox", "x0").alias("gx"), cell("oy", "y0").alias("gy"))
-        d2 = (F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2
-        pairs = a.join(b, [*within, "gx", "gy"]).withColumn("d2", d2)
-        pairs = pairs.where(F.col("whole") | (F.col("d2") <= F.col("r") * F.col("r")))
-        if own:
-            pairs = pairs.where("cell_id <> other")
-        rank = F.row_number().over(Window.partitionBy(*within, "cell_id").orderBy("d2", "other"))
-        near = pairs.withColumn("rank", rank).where(F.col("rank") <= k).withColumn("have", F.count("*").over(Window.partitionBy(*within, "cell_id")))
-        near = held(near.where((F.col("have") == k) | F.col("whole")).select(*within, "cell_id", "other", "rank", "d2"))
-        found.append(near)
-        seen_all = open_.join(size, within).where(reach).select(*within, "cell_id").unionByName(near.select(*within, "cell_id")).distinct()
-        open_ = held(open_.join(seen_all, [*within, "cell_id"], "left_anti"))
-        if open_.limit(1).count() == 0:
-            return reduce(DataFrame.unionByName, found)
-        scale *= 4
-
-
-def nearest(points: DataFrame, k: int, within: list[str]) -> DataFrame:
-    """(within, cell_id, other, rank, d2): the k nearest other points of the same group, ties by id."""
-    return nearest_between(points, points, k, within, own=True)
-
-
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds ``name``, each row's place from 0 in a total order, without bringing all rows to one task.
 

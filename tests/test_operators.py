@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slabworks.functions import columns as C
-from slabworks.operators import geometry, morphology, nearness, registration, relational, review, windows
+from slabworks.operators import geometry, morphology, nearness, neighbours, registration, relational, review, windows
 from slabworks.plans import dag
 from slabworks.sources import files
 
@@ -134,6 +134,32 @@ def test_nearest_between_is_exact_where_density_varies(spark):
     assert got[500] == [(1, 501)] and got[501] == [(1, 500)] and 600 not in got and 502 not in got
 
 
+@pytest.mark.parametrize("whole", [0, 16_384])
+@pytest.mark.parametrize("own", [True, False])
+def test_nearest_between_outliers_copies_and_lines(spark, monkeypatch, whole, own):
+    monkeypatch.setattr(neighbours, "WHOLE", whole)
+    monkeypatch.setattr(neighbours, "TILE", 8)
+    monkeypatch.setattr(neighbours, "PROBES", 20)
+    rng = np.random.default_rng(11)
+    shapes = {"far": np.vstack([rng.normal(size=(150, 2)), [[1e7, -1e7], [-1e9, 3.0]]]), "copies": np.vstack([np.repeat([[1.0, 2.0]], 120, axis=0), rng.normal(size=(40, 2))]), "line": np.column_stack([np.zeros(130), np.round(rng.normal(size=130), 1)]), "grid": np.array([(i % 12, i // 12) for i in range(144)], float), "few": rng.normal(size=(3, 2)), 'a"|b': rng.normal(size=(30, 2))}
+    rows, i = [], 0
+    for g, xy in shapes.items():
+        for p in xy:
+            rows.append((g, 7, i, *map(float, p)))
+            i += 1
+    df = spark.createDataFrame([*rows, (None, 7, 9000, 0.0, 0.0), ("few", None, 9001, 0.0, 0.0), ("far", 7, 9002, math.nan, 0.0)], "s string, c int, cell_id long, x double, y double").repartition(3)
+    probes = df
+    if not own:
+        rows_p = [(g, 7, 10_000 + j, *map(float, p)) for g, xy in shapes.items() for j, p in enumerate(np.vstack([xy[::3] + 0.05, [[50.0, 50.0], [0.0, -1e6]]]))]
+        probes = spark.createDataFrame([*rows_p, ("nowhere", 7, 1, 0.0, 0.0)], "s string, c int, cell_id long, x double, y double")
+    got = sorted((r.s, r.cell_id, r["rank"], r.other, r.d2) for r in relational.nearest_between(probes, df, 5, ["s", "c"], own=own).collect())
+    want = []
+    for g, _, c, x, y in rows if own else rows_p:
+        near = sorted(((x - u) ** 2 + (y - v) ** 2, o) for h, _, o, u, v in rows if h == g and not (own and o == c))[:5]
+        want += [(g, c, r, o, d) for r, (d, o) in enumerate(near, 1)]
+    assert [x[:4] for x in got] == [x[:4] for x in sorted(want)] and [x[4] for x in got] == pytest.approx([x[4] for x in sorted(want)], rel=1e-12)
+
+
 def test_low_depth():
     xy = np.array([(i, j) for i in range(20) for j in range(20)], float)
     counts = np.full(400, 200.0)

@@ -31,6 +31,8 @@ TREES = 32
 BITS = 64
 #: The chance that a neighbour as near as the last one found is overlooked.
 MISS = 0.03
+#: Dimensions up to which their numbers of shards are broadcast; beyond, they are joined by a shuffle.
+MOST_DIMENSIONS = 10_000
 #: Different vectors of a shard, about.
 SHARD_ROWS = 16_384
 
@@ -180,6 +182,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES,
     few = few.groupBy("vec", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     few = written(few, "forest-entries")
     shards = few.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
+    if shards.count() <= MOST_DIMENSIONS:
+        shards = F.broadcast(shards)  # two numbers a dimension
     dealt = few.join(shards, "dim").select("dim", F.pmod(F.xxhash64(F.element_at("ids", 1)), "shards").cast("int").alias("shard"), F.lit(0).alias("kind"), "ids", "vec")
     asking = asked.distinct().join(shards, "dim").select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("kind"), F.array("vec_id").alias("ids"), "vec")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -87,14 +87,31 @@ def plain_values(spark, sf_dir):
     return X.points(spark, sf_dir).select("cell_id", F.round(A.plain_value(v), 6).alias("v"))
 
 
+def _defects(spark, sf_dir):
+    return quality.with_defects(quality.held(quality.series_metrics(spark, sf_dir)), quality.series_continuity(spark, sf_dir))
+
+
+@query("defect_policy")
+def defect_policy(spark, sf_dir):
+    """The policy over series with made-up defects of several kinds and strengths: the slices that are hurt or not simply kept."""
+    calls = quality.policy(*_defects(spark, sf_dir))
+    return calls.where("slice_index in (10, 20) or call <> 'keep' or triage <> 'clear'")
+
+
+@query("defect_policy_summary")
+def defect_policy_summary(spark, sf_dir):
+    return quality.call_summary(quality.policy(*_defects(spark, sf_dir)))
+
+
 @query("review_audit")
 def review_audit(spark, sf_dir):
-    """Slices of the review band with what their tier asks for and the reasons why it isn't met."""
+    """Slices of the review band, in series with made-up defects, with what their tier asks for and the reasons why it isn't met."""
     from slabworks.operators.review import tier_verdict
 
-    scored = quality.held(quality.score_windows(quality.series_metrics(spark, sf_dir), continuity=quality.series_continuity(spark, sf_dir)))
-    band = scored.where((F.col("window") == quality.PRIMARY) & (F.col("quality_anomaly_score") > 0.01)).select(*quality.KEYS)  # this series lies below the real band
-    return tier_verdict(quality.window_evidence(scored).join(band, quality.KEYS, "left_semi"), 0.129, 2, 0.65).select(*quality.KEYS, "median_score", "stability", "supported", "reasons")
+    slices, continuity = _defects(spark, sf_dir)
+    scored = quality.held(quality.score_windows(slices, continuity=continuity))
+    band = scored.where((F.col("window") == quality.PRIMARY) & (F.col("quality_anomaly_score") > quality.KEEP_BELOW)).select(*quality.KEYS)
+    return tier_verdict(quality.window_evidence(scored).join(band, quality.KEYS, "left_semi"), quality.KEEP_BELOW, 2, 0.65).select(*quality.KEYS, "median_score", "stability", "supported", "reasons")
 
 
 @query("quality_table", "WITH s AS (SELECT slice_index, count(*)::DOUBLE AS n, median(total_counts) AS c FROM points GROUP BY ALL), l AS (SELECT 'n_locations' AS metric, n AS v FROM s UNION ALL SELECT 'median_total_counts', c FROM s) SELECT metric, count(v) AS slices, round(median(v), 6) AS median, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.75), 6) AS q75, round(min(v), 6) AS least, round(max(v), 6) AS most FROM l GROUP BY ALL", "points")

@@ -703,4 +703,4 @@ def tissue_components(spark, sf_dir):
 
 
 # the other modules register themselves
-from slabworks.plans import alignment, analysis, assembly, checks, mapping, selection, workflow  # noqa: E402, F401
+from slabworks.plans import alignment, analysis, assembly, checks, mapping, rescues, selection, workflow  # noqa: E402, F401

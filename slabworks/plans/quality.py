@@ -192,6 +192,38 @@ def score_windows(slices: DataFrame, windows: tuple[int, ...] = WINDOWS, continu
     return out.withColumn("recommendation", F.when(F.coalesce(exclude, F.lit(False)), "exclude").when(review, "review").otherwise("keep"))
 
 
+#: Made-up defects of a middle slice: what its metrics are multiplied by, and what is added to them, at full strength.
+DEFECTS = {
+    "capture": {"median_total_counts": (0.05, 0.0), "median_n_genes": (0.3, 0.0), "library_complexity": (0.4, 0.0), "detected_gene_fraction": (0.5, 0.0), "zero_fraction": (1.0, 0.35)},
+    "tissue": {"n_locations": (0.1, 0.0), "cell_density": (0.2, 0.0), "hull_area": (0.5, 0.0)},
+    "damage": {"cell_density": (0.3, 0.0), "hole_fraction": (1.0, 0.5), "fragmentation": (1.0, 0.6), "median_total_counts": (0.55, 0.0), "zero_fraction": (1.0, 0.3), "library_complexity": (0.5, 0.0)},
+    "apart": {"fragmentation": (1.0, 0.5), "hole_fraction": (1.0, 0.2)},
+}
+STRENGTHS = (0.2, 0.35, 0.5, 0.65, 0.8, 1.0)
+
+
+def with_defects(slices: DataFrame, continuity: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Metrics and continuity of a copy of every series for each defect and strength, its slices numbered 10 and 20 hurt.
+
+    Slice 20 of a series that is damaged or apart also differs from its neighbours in expression and composition; values that are missing stay so.
+    """
+    cases = F.array(*[F.struct(F.lit(k).alias("kind"), lit(s).alias("strength")) for k in DEFECTS for s in STRENGTHS])
+    name = F.concat_ws("-", "dataset_id", "_c.kind", F.format_string("%.2f", F.col("_c.strength")))
+    hit = F.col("slice_index").isin(10, 20)
+    out = slices.withColumn("_c", F.explode(cases))
+    for m in sorted({m for d in DEFECTS.values() for m in d} & set(slices.columns)):
+        value = F.col(m)
+        for kind, change in DEFECTS.items():
+            if m in change:
+                times, plus = change[m]
+                value = F.when(hit & (F.col("_c.kind") == kind), F.col(m) * (1 - F.col("_c.strength") * (1 - times)) + F.col("_c.strength") * plus).otherwise(value)
+        out = out.withColumn(m, value)
+    apart = (F.col("slice_index") == 20) & F.col("_c.kind").isin("damage", "apart")
+    links = continuity.withColumn("_c", F.explode(cases))
+    links = links.withColumns({"divergence": F.when(apart, F.greatest("divergence", F.col("_c.strength") * 0.3)).otherwise(F.col("divergence")), "js": F.when(apart, F.greatest("js", F.col("_c.strength") * 0.3)).otherwise(F.col("js")), "similarity": F.when(apart, F.least("similarity", 1 - F.col("_c.strength") * 0.6)).otherwise(F.col("similarity"))})
+    return (x.withColumn("dataset_id", name).drop("_c") for x in (out, links))
+
+
 def window_evidence(scored: DataFrame) -> DataFrame:
     """One row a slice from its scores under several windows: details (array by window), least and median score, support share.
 

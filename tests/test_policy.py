@@ -4,7 +4,7 @@ from functools import reduce
 import pytest
 from pyspark.sql import functions as F
 
-from slabworks.plans import quality
+from slabworks.plans import catalog, quality
 from tests.conftest import SF
 from tests.quality_brute import score
 
@@ -129,6 +129,45 @@ def test_registered_scores_equal_their_formulas(spark):
         assert all(got[r["slice_index"]][k] == pytest.approx(v, abs=1e-9) for k, v in w.items())
 
 
+def basis_of(views):
+    """The route that decides, asked in turn: the score, the tier of the score, a loss seen twice."""
+    own, q = views[1], views[1]["quality_anomaly_score"]
+    whole = lambda v: v["internal"] and not v["protected"]
+    if q >= 0.7 and own["recommendation"] == "exclude" and whole(own):
+        return "standard"
+    name, low, severe = ("low", 0.129, 0.65) if q < 0.54 else ("high", 0.54, 0.6)
+    ok = lambda v: v["quality_anomaly_score"] >= low and v["recommendation"] != "keep" and whole(v) and v["n_strong"] >= 2 and v["severity"] >= severe
+    if q > 0.129 and own["internal"] and ok(own) and all(map(ok, views)):
+        return f"tier_{name}"
+    return next((f"{k}_loss" for k in ("geometry", "capture") if own[f"{k}_loss_candidate"] and sum(v[f"{k}_loss_candidate"] for v in views) >= 2), "none")
+
+
+def test_policy_over_made_up_defects(spark):
+    large = SF.replace("0.001", "0.01")
+    slices, continuity = quality.with_defects(quality.held(quality.series_metrics(spark, large)), quality.series_continuity(spark, large))
+    series, links = {}, {}
+    for r in slices.collect():
+        series.setdefault(r.dataset_id, []).append(r.asDict())
+    for r in continuity.collect():
+        links[r.dataset_id, r.slice_index, r.window] = r.divergence, r.similarity, r.js
+    got = {(r.dataset_id, r.slice_index): (r.basis, r.call) for r in catalog.QUERIES["defect_policy"](spark, large).collect()}
+    want = {}
+    for name, rows in series.items():
+        rows.sort(key=lambda r: r["slice_index"])
+        seen = [score(rows, w, [links[name, r["slice_index"], w] for r in rows]) for w in (3, 5, 7)]
+        for i, r in enumerate(rows):
+            domains = ("density", "expression", "damage", "continuity")
+            views = [s[i] | {"severity": max(s[i][k] for k in domains)} for s in seen]
+            want[name, r["slice_index"]] = basis_of(views)
+    assert {k: b for k, (b, _) in got.items()} == {k: want[k] for k in got} and all((c == "exclude") == (b != "none") for b, c in got.values())
+    assert all(b == "none" for k, b in want.items() if k not in got)
+    assert set(want.values()) == {"standard", "tier_low", "tier_high", "geometry_loss", "capture_loss", "none"}
+    assert {k for k, b in want.items() if b != "none"} <= {(n, i) for n in series for i in (10, 20)}
+    audit = catalog.QUERIES["review_audit"](spark, large).collect()
+    assert {(r.dataset_id, r.slice_index) for r in audit} >= {k for k, b in want.items() if b.startswith("tier")} and any(r.reasons for r in audit)
+    assert all(not r.reasons for r in audit if want[r.dataset_id, r.slice_index] == "tier_low")
+
+
 def test_window_choice(spark):
     rows, _ = made_up(5, 11)
     frame = spark.createDataFrame([{"dataset_id": "a", "slice_index": i, **r} for i, r in enumerate(rows)] + [{"dataset_id": "b", "slice_index": i, **r} for i, r in enumerate(rows[:2])])

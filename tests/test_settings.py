@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slabworks.operators import assembly, continuity, density, resolvers, samples, simulation, statistics, validators, volume, workflow
+from slabworks.operators import assembly, continuity, density, registration, resolvers, samples, simulation, statistics, validators, volume, workflow
 
 
 def test_tier_problems():
@@ -212,3 +212,46 @@ def test_group_alignment_and_repairs(spark):
     assert r.status == "aligned" and r.tx == pytest.approx(-0.05, abs=1e-6) and r.after < 1e-9 < r.before
     with pytest.raises(ValueError, match="pairs"):
         assembly.pair_costs(points, points, 1000)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components_by_sets_and_far_points(seed):
+    rng = np.random.default_rng(seed)
+    xy = np.vstack([rng.normal(size=(60, 2)) * 3 + c for c in rng.uniform(-60, 60, (5, 2))] + [rng.uniform(-80, 80, (30, 2))])
+    disc = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if i * i + j * j <= 4]
+    cells = [tuple(c) for c in np.floor((xy - xy.min(axis=0)) / 2.0).astype(int)]
+    wide = {(x + i, y + j) for x, y in cells for i, j in disc}
+    mask = {c for c in wide if all((c[0] + i, c[1] + j) in wide for i, j in disc)}
+    part = {}
+    for start in sorted(mask):
+        todo = [start] if start not in part else []
+        while todo:
+            c = todo.pop()
+            if c in mask and c not in part:
+                part[c] = start
+                todo += [(c[0] + i, c[1] + j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    got = registration.detect(xy, 2.0)
+    want = [part[c] for c in cells]
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want)) and len(set(got)) > 3
+    first = {}
+    for g, w in zip(got, want):
+        first[w] = g
+    assert sorted(first) == sorted(first, key=first.get)  # numbered by their first bin
+    far = registration.detect(np.vstack([xy, [[4e8, 9e8]]]), 2.0)
+    assert (far[:-1] == got).all() and far[-1] not in got
+    with pytest.raises(ValueError, match="too wide"):
+        registration.detect(np.vstack([xy, [[1e18, 1e18]]]), 1e-3)
+
+
+def test_densities_over_tiles_and_far_points(spark):
+    rng = np.random.default_rng(5)
+    xy = np.vstack([rng.normal(size=(300, 2)), rng.uniform(-30, 30, (200, 2)), [[1e6, -1e6]], [[0.0, 0.0]] * 5])
+    rows = [("a", 1, i, float(x), float(y)) for i, (x, y) in enumerate(xy)] + [("a", 2, 900, 0.0, 0.0), ("a", 1, 901, None, 0.0), ("b", 1, 902, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "dataset_id string, slice_index int, cell_id long, x double, y double").repartition(3)
+    got = {r.cell_id: r.density for r in density.point_densities(df, 0.3).collect()}
+    assert len(got) == len(xy) + 2 and 901 not in got
+    want = np.exp(-0.5 * ((xy[:, None] - xy[None]) ** 2).sum(axis=2) / 0.09).sum(axis=1) / (2 * np.pi * 0.09)
+    assert np.allclose([got[i] for i in range(len(xy))], want, rtol=1e-9) and got[902] == got[900] == pytest.approx(1 / (2 * np.pi * 0.09))
+    at = rng.uniform(-40, 40, (90, 2))
+    near = np.exp(-0.5 * ((at[:, None] - xy[None]) ** 2).sum(axis=2) / 4).sum(axis=1) / (8 * np.pi)
+    assert np.allclose(density.kernel_density(xy, at, 2.0), near, rtol=1e-9, atol=1e-15)

@@ -38,7 +38,7 @@ def field_report(spark, sf_dir):
 
 
 _CALLS = "CASE WHEN {0} >= 0.7 THEN 'exclude' WHEN {0} >= 0.4 THEN 'review' ELSE 'keep' END"
-_PAIRED = f"""b AS (SELECT slice_index, count(*) FILTER (celltype = 'error') / count(*)::DOUBLE * 3 AS s0, count(*) FILTER (celltype = 'view') / count(*)::DOUBLE * 2 AS s1 FROM points GROUP BY ALL),
+_PAIRED = f"""b AS (SELECT slice_index, count(*) FILTER (celltype = 'error') / count(*)::DOUBLE * 1.9 AS s0, count(*) FILTER (celltype = 'view') / count(*)::DOUBLE * 2.2 AS s1 FROM points GROUP BY ALL),
 pc AS (SELECT *, slice_index % 3 = 0 AS inj, {_CALLS.format("s0")} AS c0, {_CALLS.format("s1")} AS c1 FROM b),
 pr AS (SELECT *, c0 <> 'keep' AS sus, c1 <> 'keep' AS det, CASE c1 WHEN 'exclude' THEN 2 WHEN 'review' THEN 1 ELSE 0 END > CASE c0 WHEN 'exclude' THEN 2 WHEN 'review' THEN 1 ELSE 0 END AS wor FROM pc)"""
 
@@ -52,7 +52,7 @@ pr AS (SELECT *, c0 <> 'keep' AS sus, c1 <> 'keep' AS det, CASE c1 WHEN 'exclude
 )
 def paired_summary(spark, sf_dir):
     share = lambda kind, k: F.count_if(F.col("celltype") == kind) / F.count("*") * k
-    s = X.points(spark, sf_dir).groupBy("dataset_id", "slice_index").agg(share("error", 3).alias("s0"), share("view", 2).alias("s1"))
+    s = X.points(spark, sf_dir).groupBy("dataset_id", "slice_index").agg(share("error", 1.9).alias("s0"), share("view", 2.2).alias("s1"))
     call = lambda c: F.when(F.col(c) >= 0.7, "exclude").when(F.col(c) >= 0.4, "review").otherwise("keep")
     side = lambda c: s.select("dataset_id", "slice_index", F.col(c).alias("score"), call(c).alias("recommendation"))
     out = T.paired_summary(T.paired_calls(side("s0"), side("s1"), s.where("slice_index % 3 = 0")))

@@ -249,20 +249,23 @@ def collection_rollup(spark, sf_dir):
     return out.select(F.coalesce("celltype", F.lit("all")).alias("grp"), "slices", "n", "flagged", r6(F.col("flagged") * 100.0 / F.col("n")).alias("rate"))
 
 
-@query("count_like", "SELECT celltype, avg(CASE WHEN abs(x - round_even(x, 0)) < 1e-6 THEN 1.0::DOUBLE ELSE 0 END) >= 0.98 AND min(x) >= 0 AS x_is_counts, avg(CASE WHEN abs(y - round_even(y, 0)) < 1e-6 THEN 1.0::DOUBLE ELSE 0 END) >= 0.98 AND min(y) >= 0 AS y_is_counts FROM points GROUP BY ALL", "points")
+@query("count_like", "SELECT celltype, avg(CASE WHEN abs(x - round_even(x, 0)) < 1e-6 THEN 1.0::DOUBLE ELSE 0 END) >= 0.98 AND min(x) >= 0 AS x_is_counts, avg(CASE WHEN abs(y - round_even(y, 0)) < 1e-6 THEN 1.0::DOUBLE ELSE 0 END) >= 0.98 AND min(y) >= 0 AS y_is_counts FROM (SELECT celltype, CASE WHEN celltype IN ('click', 'view') THEN floor(x) ELSE x END AS x, CASE WHEN celltype IN ('error', 'view') THEN -y ELSE y END AS y FROM points) GROUP BY ALL", "points")
 def count_like(spark, sf_dir):
     test = lambda c: (F.avg((F.abs(F.col(c) - F.rint(c)) < 1e-6).cast("double")) >= 0.98) & (F.min(c) >= 0)
-    return X.points(spark, sf_dir).groupBy("celltype").agg(test("x").alias("x_is_counts"), test("y").alias("y_is_counts"))
+    p = X.points(spark, sf_dir)
+    p = p.withColumns({"x": F.when(F.col("celltype").isin("click", "view"), F.floor("x")).otherwise(F.col("x")), "y": F.when(F.col("celltype").isin("error", "view"), -F.col("y")).otherwise(F.col("y"))})
+    return p.groupBy("celltype").agg(test("x").alias("x_is_counts"), test("y").alias("y_is_counts"))
 
 
 # ------------------------------------------------------------------ joins and sets
 
 
-@query("one_to_one_calls", "WITH a AS (SELECT slice_index, count(*) AS n FROM points WHERE x > 20 GROUP BY ALL), b AS (SELECT slice_index, count(*) AS m FROM points WHERE x > 60 GROUP BY ALL) SELECT CAST(slice_index AS INTEGER) AS slice_index, n, m, CASE WHEN n IS NULL THEN 'right_only' WHEN m IS NULL THEN 'left_only' ELSE 'both' END AS side, false AS duplicated FROM a FULL JOIN b USING (slice_index)", "points")
+@query("one_to_one_calls", "WITH a AS (SELECT slice_index, count(*) AS n FROM points WHERE x > 20 AND slice_index % 5 <> 0 GROUP BY ALL), b AS (SELECT slice_index, count(*) AS m FROM points WHERE x > 60 AND slice_index % 7 <> 0 GROUP BY slice_index, slice_index % 6 = 1 AND celltype = 'error'), k AS (SELECT *, count(*) OVER (PARTITION BY slice_index) AS k FROM b) SELECT CAST(slice_index AS INTEGER) AS slice_index, n, m, CASE WHEN n IS NULL THEN 'right_only' WHEN m IS NULL THEN 'left_only' ELSE 'both' END AS side, coalesce(k, 1) > 1 AS duplicated FROM a FULL JOIN k USING (slice_index)", "points")
 def one_to_one_calls(spark, sf_dir):
     p = X.points(spark, sf_dir)
-    a = p.where("x > 20").groupBy("slice_index").agg(F.count("*").alias("n"))
-    b = p.where("x > 60").groupBy("slice_index").agg(F.count("*").alias("m"))
+    a = p.where("x > 20 and slice_index % 5 <> 0").groupBy("slice_index").agg(F.count("*").alias("n"))
+    twice = (F.col("slice_index") % 6 == 1) & (F.col("celltype") == "error")  # some slices have two calls
+    b = p.where("x > 60 and slice_index % 7 <> 0").groupBy("slice_index", twice.alias("t")).agg(F.count("*").alias("m")).drop("t")
     return R.outer_one_to_one(a, b, ["slice_index"])
 
 
@@ -525,13 +528,14 @@ def composition_divergence(spark, sf_dir):
 
 @query(
     "edge_threshold",
-    """WITH c AS (SELECT slice_index, avg(x) AS cx, avg(y) AS cy FROM points GROUP BY ALL), e AS (SELECT slice_index AS fixed, sqrt((cx - lead(cx) OVER w) ** 2 + (cy - lead(cy) OVER w) ** 2) AS jump FROM c WINDOW w AS (ORDER BY slice_index)),
+    """WITH c AS (SELECT slice_index, avg(CASE WHEN slice_index = 13 THEN x + 80 ELSE x END) AS cx, avg(y) AS cy FROM points GROUP BY ALL), e AS (SELECT slice_index AS fixed, sqrt((cx - lead(cx) OVER w) ** 2 + (cy - lead(cy) OVER w) ** 2) AS jump FROM c WINDOW w AS (ORDER BY slice_index)),
     f AS (SELECT * FROM e WHERE jump IS NOT NULL), m AS (SELECT median(jump) AS mid FROM f), d AS (SELECT any_value(mid) AS mid, median(abs(jump - mid)) AS mad FROM f, m)
     SELECT CAST(fixed AS INTEGER) AS fixed, round(jump, 6) AS jump, jump > greatest(1.5 * mid, mid + 3 * 1.4826 * mad) AS high FROM f, d""",
     "points",
 )
 def edge_threshold(spark, sf_dir):
-    c = X.points(spark, sf_dir).groupBy("dataset_id", "slice_index").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    away = F.when(F.col("slice_index") == 13, F.col("x") + 80).otherwise(F.col("x"))  # one slice lies elsewhere
+    c = X.points(spark, sf_dir).groupBy("dataset_id", "slice_index").agg(F.avg(away).alias("cx"), F.avg("y").alias("cy"))
     w = Window.partitionBy("dataset_id").orderBy("slice_index")
     e = c.select("dataset_id", F.col("slice_index").alias("fixed"), F.hypot(F.col("cx") - F.lead("cx").over(w), F.col("cy") - F.lead("cy").over(w)).alias("jump")).where("jump is not null")
     return W.robust_threshold(e, "jump", ["dataset_id"], 1.5, 3.0).select("fixed", r6("jump").alias("jump"), (F.col("jump") > F.col("threshold")).alias("high"))

@@ -36,12 +36,14 @@ def alignment_preflight(spark, sf_dir):
 
 @query(
     "slice_inspection",
-    "WITH s AS (SELECT dataset_id, slice_index, count(*) FILTER (NOT (isfinite(x) AND isfinite(y))) AS f, count(*) - count(z) AS w, median(z) AS z FROM cells GROUP BY ALL), t AS (SELECT *, count(*) OVER (PARTITION BY dataset_id, z) - 1 AS o FROM s) "
+    "WITH b AS (SELECT dataset_id, slice_index, CASE WHEN cell_id % 70 <> 0 THEN x END AS x, y, CASE WHEN slice_index % 4 <> 1 OR cell_id % 3 <> 0 THEN (CASE WHEN slice_index < 4 THEN slice_index // 2 ELSE slice_index END)::DOUBLE END AS z FROM cells), s AS (SELECT dataset_id, slice_index, count(*) FILTER (x IS NULL OR y IS NULL) AS f, count(*) - count(z) AS w, median(z) AS z FROM b GROUP BY ALL), t AS (SELECT *, count(*) OVER (PARTITION BY dataset_id, z) - 1 AS o FROM s) "
     + " UNION ALL ".join(f"SELECT dataset_id, slice_index, '{n}' AS rule, CAST({c} AS BIGINT) AS failed, {c} = 0 AS ok FROM t" for n, c in (("finite_xy", "f"), ("whole_z", "w"), ("own_z", "o"))),
     "cells",
 )
 def slice_inspection(spark, sf_dir):
-    return V.slice_inspection(X.cells(spark, sf_dir))
+    shared = F.when(F.col("slice_index") < 4, F.floor(F.col("slice_index") / 2)).otherwise(F.col("slice_index")).cast("double")  # pairs of slices at one z
+    bad = {"x": F.when(F.col("cell_id") % 70 != 0, F.col("x")), "z": F.when((F.col("slice_index") % 4 != 1) | (F.col("cell_id") % 3 != 0), shared)}
+    return V.slice_inspection(X.cells(spark, sf_dir).withColumns(bad))
 
 
 @query(
@@ -58,21 +60,26 @@ def matrix_rules(spark, sf_dir):
 
 @query(
     "score_rules",
-    "WITH a AS (SELECT var_pop(x) AS va, var_pop(y) AS vb, covar_pop(x, y) AS vab, count(*) FILTER (NOT (isfinite(x) AND isfinite(y))) AS f, count(*) FILTER (x = 0 AND y = 0) AS z, bool_and(x IN (0, 1) AND y IN (0, 1) AND x + y <= 1) AS h FROM cells) "
+    "WITH a AS (SELECT var_pop(x) AS va, var_pop(y) AS vb, covar_pop(x, y) AS vab, count(*) FILTER (x IS NULL OR y IS NULL) AS f, count(*) FILTER (x = 0 AND y = 0) AS z, bool_and(x IN (0, 1) AND y IN (0, 1) AND x + y <= 1) AS h FROM (SELECT CASE WHEN cell_id % 50 = 0 THEN 0 WHEN cell_id % 77 <> 3 THEN x END AS x, CASE WHEN cell_id % 50 = 0 THEN 0 WHEN cell_id % 77 <> 3 THEN 2 * x END AS y FROM cells)) "
     + " UNION ALL ".join(f"SELECT '{n}' AS rule, CAST({c} AS BIGINT) AS failed, ({c}) = 0 AS ok FROM a" for n, c in (("finite", "f"), ("no_zero_rows", "z"), ("varies", "CASE WHEN va <= 0 OR vb <= 0 THEN 1 ELSE 0 END"), ("rank_two", "CASE WHEN va * vb - vab * vab <= 1e-12 * va * vb THEN 1 ELSE 0 END"), ("not_one_hot", "CASE WHEN h THEN 1 ELSE 0 END"))),
     "cells",
 )
 def score_rules(spark, sf_dir):
-    return V.score_rules(X.cells(spark, sf_dir), "x", "y")
+    x = F.when(F.col("cell_id") % 50 == 0, lit(0)).when(F.col("cell_id") % 77 != 3, F.col("x"))  # rows of zeros, missing ones, and a second score that is the first
+    return V.score_rules(X.cells(spark, sf_dir).withColumns({"x": x, "y": x * 2}), "x", "y")
 
 
 @query(
     "clean_rules",
-    rules(("finite_xyz", "count(*) FILTER (x IS NULL OR y IS NULL)"), ("no_row_index_ids", "count(*) FILTER (regexp_matches(CAST(cell_id AS VARCHAR), '^.+:\\d+$'))"), ("sound_labels", "count(*) FILTER (celltype IS NULL OR lower(celltype) IN ('nan', 'none', 'null', ''))"), ("unique_ids", _REPEATS), ("row_count", "abs(count(*) - 10000)"), source="points"),
+    "WITH dirty AS (SELECT CASE WHEN cell_id % 83 = 0 THEN 'row:' || cell_id WHEN cell_id % 71 = 0 THEN (cell_id + 1)::VARCHAR ELSE cell_id::VARCHAR END AS cell_id, CASE WHEN cell_id % 97 = 0 THEN NULL ELSE x END AS x, y, CASE cell_id % 89 WHEN 0 THEN 'None' WHEN 1 THEN NULL ELSE celltype END AS celltype FROM points) "
+    + rules(("finite_xyz", "count(*) FILTER (x IS NULL OR y IS NULL)"), ("no_row_index_ids", "count(*) FILTER (regexp_matches(CAST(cell_id AS VARCHAR), '^.+:\\d+$'))"), ("sound_labels", "count(*) FILTER (celltype IS NULL OR lower(celltype) IN ('nan', 'none', 'null', ''))"), ("unique_ids", _REPEATS), ("row_count", "abs(count(*) - 10000)"), source="dirty"),
     "points",
 )
 def clean_rules(spark, sf_dir):
-    return V.clean_rules(X.points(spark, sf_dir).withColumn("z", lit(0)), 10000)
+    p = X.points(spark, sf_dir).withColumn("z", lit(0))
+    i, own = F.col("cell_id"), F.col("cell_id").cast("string")
+    dirty = {"cell_id": F.when(i % 83 == 0, F.concat(F.lit("row:"), own)).when(i % 71 == 0, (i + 1).cast("string")).otherwise(own), "x": F.when(i % 97 != 0, F.col("x")), "celltype": F.when(i % 89 == 0, "None").when(i % 89 != 1, F.col("celltype"))}
+    return V.clean_rules(p.withColumns(dirty), 10000)
 
 
 @query(

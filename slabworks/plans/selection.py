@@ -84,9 +84,10 @@ def slice_labels(spark, sf_dir):
     return V.slice_labels(p, ("section", "slide"), "file").select("cell_id", "slice_label")
 
 
-@query("mito_genes", "SELECT DISTINCT p_name AS gene, regexp_matches(lower(p_name), '^(mt[-.:_]|mito-)') AS mito FROM part")
+@query("mito_genes", "WITH g AS (SELECT DISTINCT CASE p_partkey % 6 WHEN 0 THEN 'MT-' WHEN 1 THEN 'mt_' WHEN 2 THEN 'Mito-' WHEN 3 THEN 'mtx' WHEN 4 THEN 'x-mt-' ELSE '' END || p_name AS gene FROM part) SELECT gene, regexp_matches(lower(gene), '^(mt[-.:_]|mito-)') AS mito FROM g")
 def mito_genes(spark, sf_dir):
-    return X.read(spark, sf_dir, "part").select(F.col("p_name").alias("gene"), V.is_mito(F.col("p_name")).alias("mito")).distinct()
+    before = F.element_at(F.array(*map(F.lit, ("MT-", "mt_", "Mito-", "mtx", "x-mt-", ""))), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return X.read(spark, sf_dir, "part").select(F.concat(before, "p_name").alias("gene")).distinct().withColumn("mito", V.is_mito(F.col("gene")))
 
 
 @query("mito_share", "WITH m AS (SELECT median(x) AS m FROM points) SELECT cell_id, round(CASE WHEN m > 1.5 THEN x / 100 ELSE x END, 9) AS pct_mito FROM points, m", "points")
@@ -100,10 +101,10 @@ def capture_available(spark, sf_dir):
     return V.capture_available(s.withColumn("capture_available", F.col("slice_index") % 3 > 0)).drop("capture_available")
 
 
-@query("ground_truth", "SELECT o_orderkey, lower(trim(o_orderstatus)) IN ('1', 'true', 'yes', 'y', 't') AS bad, lower(trim(CASE WHEN o_orderkey % 2 = 0 THEN ' Yes ' ELSE 'no' END)) IN ('1', 'true', 'yes', 'y', 't') AS damaged FROM orders")
+@query("ground_truth", "SELECT o_orderkey, lower(trim(CASE o_orderkey % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN ' y' WHEN 2 THEN '0' ELSE o_orderstatus END)) IN ('1', 'true', 'yes', 'y', 't') AS bad, lower(trim(CASE WHEN o_orderkey % 2 = 0 THEN ' Yes ' ELSE 'no' END)) IN ('1', 'true', 'yes', 'y', 't') AS damaged FROM orders")
 def ground_truth(spark, sf_dir):
     o = X.read(spark, sf_dir, "orders")
-    return o.select("o_orderkey", V.truth(F.col("o_orderstatus")).alias("bad"), V.truth(F.when(F.col("o_orderkey") % 2 == 0, " Yes ").otherwise("no")).alias("damaged"))
+    return o.select("o_orderkey", V.truth(F.coalesce(F.element_at(F.array(F.lit("TRUE"), F.lit(" y"), F.lit("0"), F.lit(None).cast("string")), (F.col("o_orderkey") % 4 + 1).cast("int")), "o_orderstatus")).alias("bad"), V.truth(F.when(F.col("o_orderkey") % 2 == 0, " Yes ").otherwise("no")).alias("damaged"))
 
 
 @query("count_semantics", "SELECT o_custkey, count(*) AS files, CASE WHEN bool_and(o_orderstatus = 'F') THEN 'all_count_like' WHEN NOT bool_or(o_orderstatus = 'F') THEN 'none_count_like' ELSE 'mixed' END AS semantics FROM orders GROUP BY ALL")
@@ -132,9 +133,9 @@ def group_subset(spark, sf_dir):
     return V.group_subset(X.points(spark, sf_dir), "celltype", ["click", "error"]).select("cell_id", "celltype")
 
 
-@query("displacement_feature", "SELECT vec_id AS cell_id, round(sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))), 4) AS length, round(sqrt(embedding[1]::DOUBLE ** 2 + embedding[2]::DOUBLE ** 2 + embedding[3]::DOUBLE ** 2), 6) AS moved FROM embeddings")
+@query("displacement_feature", "SELECT vec_id AS cell_id, round(sqrt(list_sum(list_transform(embedding[1:8], lambda v: v::DOUBLE * v::DOUBLE))), 4) AS length, round(sqrt(embedding[1]::DOUBLE ** 2 + embedding[2]::DOUBLE ** 2 + embedding[3]::DOUBLE ** 2), 6) AS moved FROM embeddings")
 def displacement_feature(spark, sf_dir):
-    e = X.read(spark, sf_dir, "embeddings").withColumn("v", F.transform("embedding", lambda v: v.cast("double")))
+    e = X.read(spark, sf_dir, "embeddings").withColumn("v", F.transform(F.slice("embedding", 1, 8), lambda v: v.cast("double")))
     e = e.withColumns({a: F.lit(0.0) for a in "xyz"} | {f"m{a}": F.get("v", F.lit(i)) for i, a in enumerate("xyz")})
     return e.select(F.col("vec_id").alias("cell_id"), F.round(V.displacement(e, vector="v"), 4).alias("length"), r6(V.displacement(e, mapped=("mx", "my", "mz"))).alias("moved"))
 

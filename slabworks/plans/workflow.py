@@ -34,11 +34,16 @@ def mapped_points(spark, sf_dir):
     return K.mapped(p.where("slice_index < 5"), ids, "cell_id", "cell").select("cell", "slice_index")
 
 
-@query("replay_differences", f"WITH {_MOVED}, s AS (SELECT * FROM mv WHERE cell_id % 7 = 0) SELECT count(*) AS points, 0::BIGINT AS missing, 0.0::DOUBLE AS greatest, true AS same FROM s", "points")
+@query("replay_differences", f"WITH {_MOVED}, s AS (SELECT * FROM mv WHERE cell_id % 7 = 0) SELECT 'same' AS source, count(*) AS points, 0::BIGINT AS missing, 0.0::DOUBLE AS greatest, true AS same FROM s UNION ALL SELECT 'changed', count(*), count(*) FILTER (cell_id % 11 = 0), max(CASE WHEN cell_id % 11 = 0 THEN 0 WHEN cell_id % 13 = 0 THEN 0.5::DOUBLE ELSE 0 END), false FROM s", "points")
 def replay_differences(spark, sf_dir):
     p = X.points(spark, sf_dir)
     sample = p.where("cell_id % 7 = 0")  # a sampled replay is what this operator compares
-    return K.replay_differences(G.apply_recipe(p, STEPS), G.apply_recipe(sample, STEPS))
+    replayed = G.apply_recipe(sample, STEPS)
+    one = K.replay_differences(G.apply_recipe(p, STEPS), replayed).withColumn("source", F.lit("same"))
+    # a source that lacks points and has moved others
+    other = p.where("cell_id % 11 <> 0").withColumn("y", F.when(F.col("cell_id") % 13 == 0, F.col("y") + 0.5).otherwise(F.col("y")))
+    two = K.replay_differences(G.apply_recipe(other, STEPS), replayed).withColumn("source", F.lit("changed"))
+    return one.unionByName(two).withColumn("greatest", F.round("greatest", 9))
 
 
 @query("close_coordinates", "WITH a AS (SELECT cell_id, slice_index, x, y FROM points WHERE slice_index < 20), b AS (SELECT cell_id, slice_index, x * 1.00005 AS x, CASE WHEN slice_index = 12 THEN y + 1 ELSE y END AS y FROM points WHERE slice_index >= 10) SELECT CASE WHEN a.x IS NULL THEN 'right_only' WHEN b.x IS NULL THEN 'left_only' ELSE 'both' END AS side, count(*) AS rows, count(*) FILTER (abs(a.x - b.x) > abs(b.x) * 1e-4 + 1e-7 OR abs(a.y - b.y) > abs(b.y) * 1e-4 + 1e-7) AS far FROM a FULL JOIN b USING (cell_id, slice_index) GROUP BY ALL", "points")
@@ -102,9 +107,9 @@ def job_summary(spark, sf_dir):
     return out.select("status", "jobs", *[r6(c).alias(c) for c in ("mean", "median", "most")])
 
 
-@query("refine_lookup", "SELECT c_custkey AS candidate_id, max(o_orderkey) AS job, max(o_orderkey) IS NOT NULL AS found FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL")
+@query("refine_lookup", "SELECT c_custkey AS candidate_id, max(o_orderkey) AS job, max(o_orderkey) IS NOT NULL AS found FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' GROUP BY ALL")
 def refine_lookup(spark, sf_dir):
-    jobs = X.read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("candidate_id")).agg(F.max("o_orderkey").alias("job"))
+    jobs = X.read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("candidate_id")).agg(F.max("o_orderkey").alias("job"))
     return X.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("candidate_id")).join(jobs, "candidate_id", "left").withColumn("found", F.col("job").isNotNull())
 
 

@@ -193,3 +193,25 @@ def aligned_rows(spark, sf_dir):
 def capped_slice_ids(spark, sf_dir):
     r = F.row_number().over(Window.partitionBy("slice_index").orderBy(hash_rank(3, F.col("cell_id")), "cell_id"))
     return X.points(spark, sf_dir).withColumn("r", r).where("r <= 40").select(F.concat_ws(":", "slice_index", "cell_id").alias("id"))  # the cap is the operator
+
+
+@query(
+    "selected_lines",
+    "WITH g AS (SELECT gene, row_number() OVER (ORDER BY gene) - 1 AS minor FROM (SELECT DISTINCT gene FROM expression)) SELECT cell_id AS major, minor, value::DOUBLE AS value FROM expression JOIN g USING (gene) WHERE cell_id % 10 = 3 OR cell_id BETWEEN 40 AND 60",
+    "expression",
+)
+def selected_lines(spark, sf_dir):
+    """The counts as a compressed matrix, of which some cells' lines are read back."""
+    import uuid
+
+    from slabworks.session import held, run_dir
+    from slabworks.sources.compressed import read_compressed, write_compressed
+
+    e = held(X.expression(spark, sf_dir))
+    genes = sorted(r.gene for r in e.select("gene").distinct().collect())  # the kinds of events
+    minor = F.element_at(F.create_map(*[F.lit(v) for i, g in enumerate(genes) for v in (g, i)]), F.col("gene"))
+    lines = e.agg(F.max("cell_id").alias("n")).first().n + 1
+    path = f"{run_dir(spark)}/matrix-{uuid.uuid4().hex}"
+    write_compressed(e.select(F.col("cell_id").alias("major"), minor.alias("minor"), "value"), path, lines, 6)
+    wanted = [i for i in range(lines) if i % 10 == 3 or 40 <= i <= 60]
+    return read_compressed(spark, path, wanted)

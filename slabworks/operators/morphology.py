@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slabworks.functions.columns import EPS
+from slabworks.functions.columns import EPS, lit
 from slabworks.operators.nearness import Grid
 from slabworks.session import ship, spread
 
 
+#: Points of a block whose hull is taken at once, pairs of near points held at once, and queries answered at once.
+HULL, PAIRS, QUERIES = 50_000, 1_000_000, 50_000
+
+
+def places_of(xy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different places of points, in order, and the number of each point's place."""
+    order = np.lexsort((xy[:, 1], xy[:, 0]))
+    new = np.ones(len(xy), bool)
+    new[1:] = (np.diff(xy[order], axis=0) != 0).any(axis=1)
+    of = np.empty(len(xy), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return xy[order[new]], of
+
+
 def hull_area(xy: np.ndarray) -> float | None:
-    """Area of the convex hull by the monotone chain; None for points on a line."""
-    p = np.unique(xy, axis=0)
+    """Area of the convex hull by the monotone chain, block by block; None for points on a line."""
+    p = places_of(xy)[0]
     if len(p) < 3:
         return None
 
@@ -25,34 +41,46 @@ def hull_area(xy: np.ndarray) -> float | None:
             while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]):
                 out.pop()
             out.append(q)
-        return out[:-1]
+        return out
 
-    ring = np.array(chain(p.tolist()) + chain(p[::-1].tolist()))
+    def half(p: np.ndarray) -> list:
+        return chain(q for i in range(0, len(p), HULL) for q in chain(p[i : i + HULL].tolist()))[:-1]
+
+    ring = np.array(half(p) + half(p[::-1]))
     x, y = ring[:, 0], ring[:, 1]
     area = abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2
     return float(area) if area > 0 else None
 
 
-def grid_neighbours(xy: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points at most a radius apart, by sorted grid cells."""
+def neighbour_blocks(xy: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of points at most a radius apart, by sorted grid cells, in blocks: a point's pairs with one cell stay together."""
     cell = np.floor(xy / radius).astype(np.int64)
     cell -= cell.min(axis=0)
     width = int(cell[:, 1].max()) + 3
     key = (cell[:, 0] + 1) * width + cell[:, 1] + 1
     order = np.argsort(key, kind="stable")
     ordered = key[order]
-    left, right = [], []
     for shift in (0, 1, width - 1, width, width + 1):
-        lo, hi = np.searchsorted(ordered, key + shift, "left"), np.searchsorted(ordered, key + shift, "right")
-        n = hi - lo
-        a = np.repeat(np.arange(len(xy)), n)
-        b = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        if shift == 0:
-            keep = a < b
-            a, b = a[keep], b[keep]
-        near = ((xy[a] - xy[b]) ** 2).sum(axis=1) <= radius * radius
-        left.append(a[near])
-        right.append(b[near])
+        lo, n = np.searchsorted(ordered, key + shift, "left"), np.searchsorted(ordered, key + shift, "right")
+        n -= lo
+        total = np.cumsum(n)
+        first = 0
+        while first < len(xy):
+            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + PAIRS, "right")))
+            k, begin = n[first:last], lo[first:last]
+            a = np.repeat(np.arange(first, last), k)
+            b = order[np.repeat(begin - np.cumsum(k) + k, k) + np.arange(k.sum())]
+            if shift == 0:
+                keep = a < b
+                a, b = a[keep], b[keep]
+            near = ((xy[a] - xy[b]) ** 2).sum(axis=1) <= radius * radius
+            yield a[near], b[near]
+            first = last
+
+
+def grid_neighbours(xy: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of points at most a radius apart."""
+    left, right = zip(*neighbour_blocks(xy, radius))
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -72,26 +100,69 @@ def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def low_depth(xy: np.ndarray, counts: np.ndarray, spacing: float, k: int = 12) -> tuple[float, float]:
+def clusters(xy: np.ndarray, radius: float) -> np.ndarray:
+    """Least point of each point's component, points at most a radius apart being linked; pairs are held in blocks."""
+    label = np.arange(len(xy))
+    for a, b in neighbour_blocks(xy, radius):
+        a, b = label[a], label[b]
+        apart = a != b
+        if apart.any():
+            label = components(len(xy), a[apart], b[apart])[label]
+    return label
+
+
+def weighted_median(values: np.ndarray, times: np.ndarray) -> float:
+    """The median of values that stand several times each."""
+    if np.isnan(values).any():
+        return float("nan")
+    order = np.argsort(values)
+    upto = np.cumsum(times[order])
+    at = np.searchsorted(upto, [(upto[-1] - 1) // 2, upto[-1] // 2], "right")
+    return float(values[order[at]].mean())
+
+
+#: Neighbours that a point's depth is compared with.
+DEPTH_K = 12
+
+
+def low_depth(xy: np.ndarray, counts: np.ndarray, spacing: float, k: int = DEPTH_K, times: np.ndarray | None = None) -> tuple[float, float]:
     """Share of points of low depth, and the share that the largest cluster of them takes; (0, 0) for few points.
 
     Depth is log(1 + count).  A point is low if it lies far below the median of its k neighbours (against the spread
     of such differences), or below the slice's median by a factor of 2.5; low points cluster within 2.75 spacings.
+    Points with equal distances come in their order.  With ``times`` a row of 0 is the head of its place: one of its
+    first k + 1 points.  Others stand for as many of the points behind them, which all have the first k for neighbours.
     """
-    if len(xy) < max(8, k + 2):
+    head = np.ones(len(xy), bool) if times is None else times == 0
+    times = np.ones(len(xy), np.int64) if times is None else np.where(head, 1, times)
+    total = int(times.sum())
+    if total < max(8, k + 2):
         return 0.0, 0.0
     depth = np.log1p(np.maximum(counts, 0))
-    near, _ = Grid(xy).nearest(xy, min(k, len(xy) - 1), own=True)
-    off = depth - np.median(depth[near], axis=1)
-    mid = np.median(off)
-    spread = 1.4826 * np.median(np.abs(off - mid))
+    heads = np.flatnonzero(head)
+    grid, around = Grid(xy[heads]), np.empty(len(xy))
+    for i in range(0, len(heads), QUERIES):
+        some = np.arange(i, min(i + QUERIES, len(heads)))
+        near, _ = grid.nearest(xy[heads[some]], min(k, len(heads) - 1), own=some)
+        around[heads[some]] = np.median(depth[heads[near]], axis=1)
+    if len(heads) < len(xy):
+        place = places_of(xy)[1]
+        heads = heads[np.argsort(place[heads], kind="stable")]
+        tails = np.flatnonzero(~head)
+        first = np.searchsorted(place[heads], place[tails])
+        for i in range(0, len(tails), QUERIES):
+            around[tails[i : i + QUERIES]] = np.median(depth[heads[first[i : i + QUERIES, None] + np.arange(k)]], axis=1)
+    off = depth - around
+    mid = weighted_median(off, times)
+    spread = 1.4826 * weighted_median(np.abs(off - mid), times)
     local = (off - mid) / spread < -2.75 if spread > EPS else off < -np.log(2.5)
-    low = np.flatnonzero(local | (depth < np.median(depth) - np.log(2.5)))
-    if len(low) < 2 or not spacing > 0:
-        return len(low) / len(xy), len(low[:1]) / len(xy)
-    a, b = grid_neighbours(xy[low], 2.75 * spacing)
-    largest = np.unique(components(len(low), a, b), return_counts=True)[1].max()
-    return len(low) / len(xy), float(largest) / len(xy)
+    low = local | (depth < weighted_median(depth, times) - np.log(2.5))
+    n = int(times[low].sum())
+    if n < 2 or not spacing > 0:
+        return n / total, min(n, 1) / total
+    places, of = places_of(xy[low])
+    largest = np.bincount(clusters(places, 2.75 * spacing), np.bincount(of, times[low])).max()
+    return n / total, float(largest) / total
 
 
 def grown(grid: np.ndarray) -> np.ndarray:
@@ -147,45 +218,67 @@ GEOMETRY = (
 )
 
 
-def geometry_of(xy: np.ndarray, counts: np.ndarray | None = None) -> dict:
+def geometry_of(xy: np.ndarray, counts: np.ndarray | None = None, times: np.ndarray | None = None) -> dict:
     """The geometry of one slice's finite points; fewer than two points have none.
 
-    Coincident points count for components but not for the spacing; points on a line have no hull.
+    Coincident points count for components but not for the spacing; points on a line have no hull.  ``times`` is that of
+    low_depth, or how often each point stands if there are no counts.
     """
-    row = {"n": len(xy)}
-    if len(xy) < 2:
+    each = np.ones(len(xy), np.int64) if times is None else np.maximum(times, 1)
+    row = {"n": int(each.sum())}
+    if row["n"] < 2:
         return row
-    d = Grid(xy).nearest(xy, 1, own=True)[1][:, 0]
+    places, of = places_of(xy)
+    many = np.bincount(of, each)
+    row["hull_area"] = hull_area(places)
+    alone = np.flatnonzero(many == 1)  # a point that shares its place has no positive distance
+    d = Grid(places).nearest(places[alone], 1, own=alone)[1][:, 0] if len(places) > 1 else np.empty(0)
     positive = d[d > 0]
-    row["hull_area"] = hull_area(xy)
     if len(positive):
         mid = float(np.median(positive))
-        label, n = np.unique(components(len(xy), *grid_neighbours(xy, 3.25 * mid)), return_counts=True)
-        share = float(n.max() / len(xy))
-        row |= {"nn_median": mid, "knn_tail_ratio": max(float(np.quantile(positive, 0.95)) / mid - 1, 0.0), "n_components": len(label), "largest_component_fraction": share, "fragmentation": 1 - share, "hole_fraction": hole_fraction(xy, mid)}
+        size = np.bincount(clusters(places, 3.25 * mid), many)
+        share = float(size.max() / row["n"])
+        row |= {"nn_median": mid, "knn_tail_ratio": max(float(np.quantile(positive, 0.95)) / mid - 1, 0.0), "n_components": int((size > 0).sum()), "largest_component_fraction": share, "fragmentation": 1 - share, "hole_fraction": hole_fraction(places, mid)}
         if counts is not None:
-            row["local_low_depth_fraction"], row["regional_low_depth_cluster_fraction"] = low_depth(xy, counts, mid)
+            row["local_low_depth_fraction"], row["regional_low_depth_cluster_fraction"] = low_depth(xy, counts, mid, times=times)
     return row
 
 
+def kinds_of_points(points: DataFrame) -> DataFrame:
+    """(dataset_id, slice_index, x, y, times) of a slice's different places, or with total_counts (..., count, cell_id, times) of what low_depth asks for."""
+    rows = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), *[F.col(c).cast("double").alias(c) for c in "xy"], *[c for c in ("total_counts", "cell_id") if "total_counts" in points.columns])
+    at = ["dataset_id", "slice_index", "x", "y"]
+    if "total_counts" not in points.columns:
+        return rows.groupBy(*at).agg(F.count("*").alias("times"))
+    nth = F.row_number().over(Window.partitionBy(*at).orderBy("cell_id"))
+    rows = rows.withColumn("_nth", nth).withColumn("count", F.coalesce(F.nanvl(F.col("total_counts").cast("double"), lit(0)), lit(0)))
+    rows = rows.withColumn("head", F.when(F.col("_nth") <= DEPTH_K + 1, F.col("_nth")))
+    kinds = rows.groupBy(*at, "count", "head").agg(F.count("*").alias("times"), F.min("cell_id").alias("cell_id"))
+    return kinds.select(*at, "count", "cell_id", F.when(F.col("head").isNotNull(), 0).otherwise(F.col("times")).alias("times"))
+
+
 def slice_geometry(points: DataFrame) -> DataFrame:
-    """A row a slice of GEOMETRY; depth columns are NULL without total_counts.
+    """A row a slice of GEOMETRY; depth columns are NULL without total_counts, which ask for cell_id too.
 
-    Only the columns needed are sent, and a task holds a slice at a time.
+    Spark counts points that share a place; a task holds a slice's different places at a time, and works on blocks of
+    a fixed size of their pairs.  Of neighbours at equal distances the one with the least cell_id comes first.
     """
-    counted = "total_counts" in points.columns
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        xy = pdf[["x", "y"]].to_numpy(float)
+    kinds = kinds_of_points(points)
+    counted = "count" in kinds.columns
+    names = [c.split() for c in GEOMETRY.split(", ")]
+    schema = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[t]) for n, t in names])
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        if counted:
+            table = table.sort_by([(c, "ascending") for c in ("cell_id", "x", "y")])
+        column = lambda c: table[c].to_numpy()
+        xy = np.column_stack([column("x"), column("y")]).astype(float)
         good = np.isfinite(xy).all(axis=1)
-        counts = pdf["total_counts"].fillna(0).to_numpy(float)[good] if counted else None
-        empty = dict.fromkeys([c.split()[0] for c in GEOMETRY.split(", ")])
-        return pd.DataFrame([empty | {"dataset_id": key[0], "slice_index": key[1]} | geometry_of(xy[good], counts)])
+        row = geometry_of(xy[good], column("count")[good] if counted else None, column("times")[good])
+        return pa.Table.from_pylist([{"dataset_id": key[0].as_py(), "slice_index": key[1].as_py()} | row], schema)
 
     ship(points.sparkSession)
-    sent = ["x", "y"] + (["total_counts"] if counted else [])
-    rows = points.select("dataset_id", F.col("slice_index").cast("int").alias("slice_index"), *sent)
-    return spread(rows, "dataset_id", "slice_index").groupBy("dataset_id", "slice_index").applyInPandas(one, GEOMETRY)
+    return spread(kinds, "dataset_id", "slice_index").groupBy("dataset_id", "slice_index").applyInArrow(one, GEOMETRY)
 
 
 #: Genes that principal components are taken of, at most: their Gram matrix is held by a task and by the driver.

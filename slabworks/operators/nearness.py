@@ -5,9 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 #: Rings of cells beyond which the few queries that are left are compared with all points.
-RINGS = 48
-#: Distances held at once.
-BLOCK = 4_000_000
+RINGS = 1_024
+#: Distances held at once, unless one query alone has more points to be compared with.
+BLOCK = 1_000_000
 
 
 class Grid:
@@ -27,8 +27,8 @@ class Grid:
         self.order = np.argsort(key, kind="stable")
         self.keys = key[self.order]
 
-    def nearest(self, queries: np.ndarray, k: int = 1, own: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Places and distances of the k nearest points to each query, ties by place; ``own``: queries are the points, which don't count themselves.
+    def nearest(self, queries: np.ndarray, k: int = 1, own: bool | np.ndarray = False) -> tuple[np.ndarray, np.ndarray]:
+        """Places and distances of the k nearest points to each query, ties by place; ``own``: queries are the points, or those at these places, and don't count themselves.
 
         There must be at least k points to choose from.
         """
@@ -36,7 +36,7 @@ class Grid:
         at, far = np.full((len(queries), k), -1), np.full((len(queries), k), np.inf)
         left, ring = np.arange(len(queries)), 1
         while len(left):
-            todo, step = [], max(1, BLOCK // max(1, (2 * ring + 1) ** 2 * 4))
+            todo, step = [], max(1, BLOCK // ((2 * ring + 1) * 16))
             for i in range(0, len(left), step):
                 part = left[i : i + step]
                 done = self._search(queries, part, k, own, ring, at, far)
@@ -44,7 +44,7 @@ class Grid:
             left, ring = np.concatenate(todo), ring * 2
         return at, far
 
-    def _search(self, queries: np.ndarray, part: np.ndarray, k: int, own: bool, ring: int, at: np.ndarray, far: np.ndarray) -> np.ndarray:
+    def _search(self, queries: np.ndarray, part: np.ndarray, k: int, own: bool | np.ndarray, ring: int, at: np.ndarray, far: np.ndarray) -> np.ndarray:
         q = queries[part]
         cell = np.floor((q - self.low) / self.size)
         whole = ring > RINGS
@@ -59,10 +59,13 @@ class Grid:
             hi = np.searchsorted(self.keys, (base + last[:, None]).ravel(), "right").reshape(base.shape)
             hi = np.where(inside, np.maximum(hi, lo), lo)
         n = (hi - lo).ravel()
+        if len(part) > 1 and n.sum() > BLOCK:  # crowded cells
+            half = len(part) // 2
+            return np.concatenate([self._search(queries, p, k, own, ring, at, far) for p in (part[:half], part[half:])])
         of = np.repeat(np.repeat(np.arange(len(part)), lo.shape[1]), n)
         who = self.order[np.repeat(lo.ravel() - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        if own:
-            other = who != part[of]
+        if own is not False:
+            other = who != (part if own is True else own[part])[of]
             of, who = of[other], who[other]
         d = ((q[of] - self.points[who]) ** 2).sum(axis=1)
         if k == 1 and len(of):  # rows come by query already: the least of each, then the first of those at that distance

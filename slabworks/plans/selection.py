@@ -167,8 +167,10 @@ def palette(spark, sf_dir):
 
 @query("set_equality", "SELECT (SELECT count(*) FROM (SELECT DISTINCT celltype FROM points EXCEPT SELECT DISTINCT event_type FROM events)) AS only_left, (SELECT count(*) FROM (SELECT event_type FROM events EXCEPT SELECT celltype FROM points WHERE celltype <> 'error')) AS only_right", "points")
 def set_equality(spark, sf_dir):
-    a, b = X.points(spark, sf_dir).select("celltype"), X.read(spark, sf_dir, "events").select("event_type")
-    return a.subtract(b).agg(F.count("*").alias("only_left")).crossJoin(b.subtract(a.where("celltype <> 'error'")).agg(F.count("*").alias("only_right")))  # one row each
+    left = X.points(spark, sf_dir).select(F.col("celltype").alias("label"), F.lit(True).alias("left"), F.coalesce(F.col("celltype") != "error", F.lit(False)).alias("kept"), F.lit(False).alias("right"))
+    right = X.read(spark, sf_dir, "events").select(F.col("event_type").alias("label"), F.lit(False).alias("left"), F.lit(False).alias("kept"), F.lit(True).alias("right"))
+    labels = left.union(right).groupBy("label").agg(*[F.bool_or(c).alias(c) for c in ("left", "kept", "right")])  # no join: Spark's EXCEPT joins all rows before it drops repetitions
+    return labels.agg(F.count_if(F.col("left") & ~F.col("right")).alias("only_left"), F.count_if(F.col("right") & ~F.col("kept")).alias("only_right"))
 
 
 @query("settings_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{\"id\":' || event_id || ',\"k\":' || json_extract_string(props, '$.k') || '}' AS packed FROM events")

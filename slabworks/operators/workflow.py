@@ -92,19 +92,25 @@ ROTATIONS, SHIFTS = (-10.0, -5.0, 0.0, 5.0, 10.0), (-1500.0, 0.0, 1500.0)
 ALL_WEIGHT, OTHER_WEIGHT, TOO_WORSE, PROMISING = 0.5, 1.5, 1.0, 0.75
 
 
-def _jump(by: list[str], x: str, y: str, side: str) -> list[Column]:
-    """Both sides' centres, their radii being the median distance from them, need two passes: this is the first."""
-    mean = lambda c, s: F.avg(F.when(F.col(side) == s, F.col(c)))
-    return [mean(x, "f").alias("fx"), mean(y, "f").alias("fy"), mean(x, "m").alias("mx"), mean(y, "m").alias("my"), F.count_if(F.col(side) == "f").alias("nf"), F.count_if(F.col(side) == "m").alias("nm")]
+def label_centres(rows: DataFrame) -> DataFrame:
+    """Both sides' centres and radii by label: (label, fx, fy, rf, nf) and (mx, my, rm, nm); a radius is the median distance from the centre.
+
+    A turn leaves nothing of a point with a missing coordinate: ux, uy and ru are of the moving side without such points.
+    """
+    of = lambda c, s: F.when(F.col("side") == s, F.col(c))
+    whole = lambda c: F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), of(c, "m"))
+    means = [F.avg(of(c, s)).alias(f"{s}{c}") for s in "fm" for c in "xy"] + [F.avg(whole(c)).alias(f"u{c}") for c in "xy"]
+    centre = rows.groupBy("label").agg(*means, *[F.count_if(F.col("side") == s).alias(f"n{s}") for s in "fm"])
+    far = lambda s: F.hypot(F.col("x") - F.col(f"{s}x"), F.col("y") - F.col(f"{s}y"))
+    moving = F.col("side") == "m"
+    r = rows.join(centre, "label").select("label", F.when(~moving, far("f")).alias("rf"), F.when(moving, far("m")).alias("rm"), F.when(moving, far("u")).alias("ru"))
+    r = r.groupBy("label", "rf", "rm", "ru").agg(F.count("*").alias("n"))  # equal distances go to the median as one row
+    return centre.join(r.groupBy("label").agg(*[F.percentile(c, F.lit(0.5), F.col("n")).alias(c) for c in ("rf", "rm", "ru")]), "label")
 
 
-def centroid_jumps(rows: DataFrame, by: list[str]) -> DataFrame:
-    """(by, nf, nm, jump): distance of both sides' centres over the mean of their median radii."""
-    centre = rows.groupBy(*by).agg(*_jump(by, "x", "y", "side"))
-    r = F.when(F.col("side") == "f", F.hypot(F.col("x") - F.col("fx"), F.col("y") - F.col("fy"))).otherwise(F.hypot(F.col("x") - F.col("mx"), F.col("y") - F.col("my")))
-    radius = lambda s: F.percentile(F.when(F.col("side") == s, r), F.lit(0.5))
-    both = rows.join(centre, by).groupBy(*by).agg(*[F.first(c).alias(c) for c in ("fx", "fy", "mx", "my", "nf", "nm")], radius("f").alias("rf"), radius("m").alias("rm"))
-    return both.select(*by, "nf", "nm", over(F.hypot(F.col("fx") - F.col("mx"), F.col("fy") - F.col("my")), (F.col("rf") + F.col("rm")) / 2).alias("jump"))
+def _jump(x: Column, y: Column, radius: str) -> Column:
+    """Distance of a centre from the fixed side's, over the mean of both radii."""
+    return over(F.hypot(F.col("fx") - x, F.col("fy") - y), (F.col("rf") + F.col(radius)) / 2)
 
 
 def refine_candidates(rows: DataFrame, label: str, base: tuple[float, float, float] = (0.0, 0.0, 0.0), rotations: tuple[float, ...] = ROTATIONS, shifts: tuple[float, ...] = SHIFTS, guard: int = 30, top: int = 20) -> DataFrame:
@@ -113,19 +119,17 @@ def refine_candidates(rows: DataFrame, label: str, base: tuple[float, float, flo
     rows(side, cell_id, x, y, label) of one edge.  Candidates are a grid of turns (about the moving label's centre) and
     shifts around ``base``; equal ones count once.  A candidate improves the label's jump; it is marked down for what it
     does to all cells, and more for the label that it harms most among those with ``guard`` points on both sides.
+
+    A rigid motion takes centres along and keeps distances from them, so candidates are tried on the labels' centres.
     """
     spark = rows.sparkSession
     grid = spark.createDataFrame(sorted({(round(base[0] + r, 6), round(base[1] + dx, 3), round(base[2] + dy, 3)) for r in rotations for dx in shifts for dy in shifts}), "degrees double, dx double, dy double")
     centre = rows.where((F.col("side") == "m") & (F.col("label") == label)).agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
-    tried = rows.crossJoin(F.broadcast(centre)).crossJoin(F.broadcast(grid))  # one centre, and a grid of fixed size
-    tx, ty = rotate(F.col("x"), F.col("y"), F.radians("degrees"), F.col("cx"), F.col("cy"))
-    moving = F.col("side") == "m"
-    tried = tried.withColumns({"x": F.when(moving, tx + F.col("dx")).otherwise(F.col("x")), "y": F.when(moving, ty + F.col("dy")).otherwise(F.col("y"))})
     keys = ["degrees", "dx", "dy"]
-    every = lambda d: d.withColumn("label", F.lit("\x00all"))
-    before = centroid_jumps(rows.unionByName(every(rows)), ["label"]).select("label", F.col("jump").alias("before"))
-    tried = tried.select(*keys, "side", "x", "y", "label")
-    after = centroid_jumps(tried.unionByName(every(tried)), [*keys, "label"]).join(before, "label")
+    labels = label_centres(rows.unionByName(rows.withColumn("label", F.lit("\x00all"))))
+    tx, ty = rotate(F.col("ux"), F.col("uy"), F.radians("degrees"), F.col("cx"), F.col("cy"))
+    tried = labels.crossJoin(F.broadcast(centre)).crossJoin(F.broadcast(grid))  # one centre, and a grid of fixed size
+    after = tried.select(*keys, "label", "nf", "nm", _jump(tx + F.col("dx"), ty + F.col("dy"), "ru").alias("jump"), _jump(F.col("mx"), F.col("my"), "rm").alias("before"))
     worse = F.coalesce(F.col("jump") - F.col("before"), lit(0))
     is_all, is_own = F.col("label") == "\x00all", F.col("label") == label
     other = ~is_all & ~is_own & (F.col("nf") >= guard) & (F.col("nm") >= guard)

@@ -27,3 +27,13 @@ def test_sets_are_compared_without_a_join(spark, tmp_path):
     assert tuple(got.first()) == (0, 2)  # neither error nor a missing label is left on the right
     compare(got, catalog.SQL["set_equality"], tmp_path)
     assert "Join" not in plan_of(got)
+
+
+def test_candidates_are_tried_on_centres(spark, tmp_path):
+    labels = ["click", "view", "error"]
+    rows = [(6 + i % 2, labels[i % 3], (i * 37 % 101) / 3 + (i % 2) * 9, None if i % 29 == 0 else i * 53 % 97) for i in range(400)]
+    events(tmp_path, [(d, c, None if i % 31 == 0 else x, k) for i, (d, c, x, k) in enumerate(rows)])
+    got = catalog.QUERIES["refine_candidates"](spark, str(tmp_path))
+    assert compare(got, catalog.SQL["refine_candidates"], tmp_path) == 20
+    plan = plan_of(got)
+    assert plan.rindex("Join Cross") < plan.index("percentile(")  # plans are written from the top

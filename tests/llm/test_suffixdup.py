@@ -102,3 +102,20 @@ def test_segments_cover_each_string_once():
     seen = sorted((d, s + j) for d, s, k in zip(doc.tolist(), start.tolist(), n.tolist()) for j in range(k))
     assert seen == [(d, i) for d, t in enumerate(some) for i in range(len((t or "").encode()) - 399)]
     assert n.max() <= suffixdup.LONGEST
+
+
+def test_a_text_without_repeats_has_each_anchor_once():
+    raw = np.random.default_rng(4).integers(97, 123, 60_000).astype(np.uint8)
+    _, _, n, anchor, _ = suffixdup.segments(raw, np.array([0, len(raw)]))
+    assert len(set(anchor.tolist())) == len(anchor) and n.sum() == len(raw) - 399
+
+
+def test_segments_equal_once_cut_go_through_the_transform_once(monkeypatch):
+    rng = random.Random(7)
+    some = lambda k: bytes(rng.choices(range(97, 123), k=k))
+    shared, before, after = some(450), [some(30), some(80)], [some(60), some(20)]
+    rows = [(1, bytes([i]), 1 << 10 | len(b) + 200 + 1, 1, b + shared + a) for i, (b, a) in enumerate(zip(before, after))]
+    seen = []
+    monkeypatch.setattr(suffixdup, "repeated_starts", lambda strings, *rest, f=suffixdup.repeated_starts: f(seen.append(strings) or strings, *rest))
+    assert suffixdup.repeats_of(rows) == [(bytes([i]), r[2], len(b), len(b) + 450) for i, (r, b) in enumerate(zip(rows, before))]
+    assert seen == [[shared]]
